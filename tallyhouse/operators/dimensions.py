@@ -81,11 +81,12 @@ def products(lines: DataFrame) -> DataFrame:
         .agg(F.max("invoice_date").alias("last_used"))
     )
     # among names last used on the same day the greatest is taken
-    names = last_use.groupBy(F.col("stock_code").alias("code")).agg(
+    names = last_use.groupBy("stock_code").agg(
         F.max(F.struct("last_used", "description")).getField("description").alias("description")
     )
     rate = F.try_divide("units_returned", "units_sold")
-    return measures.join(names, F.col("stock_code").eqNullSafe(F.col("code")), "left").select(
+    # staging leaves no line without a code, and both sides are partitioned by it
+    return measures.join(names, "stock_code", "left").select(
         "stock_code",
         "description",
         "n_orders",

@@ -64,8 +64,8 @@ def with_ntiles(df: DataFrame, key: str, tiles: Mapping[str, Ntile]) -> DataFram
     """Add an n-tile column per entry; ties fall in the order of ``key``.
 
     All orderings share one range sort of narrow (ordering, value, key) rows. Only
-    the rows that open a bucket are looked up, sum(buckets - 1) of them, and every
-    row of ``df`` is then compared with these edges: ``df`` itself never moves.
+    the rows that open a bucket are looked up, buckets - 1 of them per ordering, and
+    every row of ``df`` is then compared with these edges: ``df`` itself never moves.
     """
     specs = list(tiles.values())
     measures = [
@@ -74,20 +74,20 @@ def with_ntiles(df: DataFrame, key: str, tiles: Mapping[str, Ntile]) -> DataFram
     ]
     narrow = df.select(F.col(key).alias("id"), F.inline(F.array(*measures)))
     ranked = with_row_number(narrow, [F.col("tile"), F.col("value"), F.col("id")], "place")
-    total = ranked.agg(F.max("place").alias("total"))
+    size = df.agg(F.count(F.lit(1)).alias("rows"))
 
-    rows = F.coalesce(F.expr(f"total div {len(specs)}"), F.lit(0))
     row = F.struct("value", "id")
-    edges = {}
+    edges = []
     for i, spec in enumerate(specs):
         for bucket in range(1, spec.buckets):
             # the first buckets are one row larger when the rows do not divide evenly
-            full = F.floor(rows / spec.buckets) * bucket
-            extra = F.least(F.lit(bucket), F.pmod(rows, F.lit(spec.buckets)))
-            opens = (F.col("place") == rows * i + full + extra + 1) & (rows > bucket)
-            edges[i, bucket] = F.max(F.when(opens, row)).alias(f"_edge_{i}_{bucket}")
-    # a single row of fixed width
-    edge_row = ranked.crossJoin(F.broadcast(total)).agg(*edges.values())
+            full = F.expr(f"{bucket} * (rows div {spec.buckets})")
+            extra = F.least(F.lit(bucket), F.pmod("rows", F.lit(spec.buckets)))
+            opens = F.col("place") == F.col("rows") * i + full + extra + 1
+            edge = F.when(opens & (F.col("rows") > bucket), row)
+            edges.append(F.max(edge).alias(f"_edge_{i}_{bucket}"))
+    # single rows of fixed width
+    edge_row = ranked.crossJoin(F.broadcast(size)).agg(*edges)
 
     def tile(i: int, spec: Ntile) -> Column:
         mine = F.struct(spec.sort_value().alias("value"), F.col(key).alias("id"))

@@ -3,6 +3,9 @@
 Written from the business rules, not from the Spark plans: windows instead of
 two-step aggregates, plain sums of doubles instead of cents, ntile and row_number as
 such. Every statement starts from the given tables.
+
+Totals that are rounded to whole units are added as decimals: they can be an exact
+half, and then the order in which doubles are added would decide the result.
 """
 
 from __future__ import annotations
@@ -574,7 +577,7 @@ WHERE invoice_date > (SELECT max(invoice_date) FROM first_delivery) - 365"""
     "mart_data_quality": _query("SELECT * FROM health"),
     "kpi_headline": _query(
         """SELECT
-    round(sum(revenue), 0) AS total_net_revenue,
+    round(sum(revenue::DECIMAL(18, 2))::DOUBLE, 0) AS total_net_revenue,
     sum(n_orders)::BIGINT AS total_orders,
     sum(n_new_customers)::BIGINT AS total_new_customers,
     round(sum(revenue) / sum(n_orders), 2) AS avg_order_value
@@ -599,7 +602,7 @@ SELECT month, 'Returning' AS type, n_returning_customers AS customers FROM by_mo
         """SELECT
     rfm_segment,
     count(*) AS n_customers,
-    round(sum(monetary), 0) AS total_monetary,
+    round(sum(monetary::DECIMAL(18, 2))::DOUBLE, 0) AS total_monetary,
     round(avg(monetary), 2) AS avg_monetary,
     round(avg(frequency), 2) AS avg_frequency,
     round(avg(recency_days), 1) AS avg_recency_days
@@ -611,7 +614,8 @@ GROUP BY rfm_segment"""
         " revenue_share_pct FROM by_country"
     ),
     "region_rollup": _query(
-        "SELECT region, round(sum(revenue), 0) AS revenue FROM by_country GROUP BY region"
+        "SELECT region, round(sum(revenue::DECIMAL(18, 2))::DOUBLE, 0) AS revenue"
+        " FROM by_country GROUP BY region"
     ),
     "region_rollup_exact": _query(
         "SELECT region, round(sum(revenue), 2) AS revenue FROM by_country GROUP BY region"
@@ -624,7 +628,7 @@ GROUP BY rfm_segment"""
         """SELECT
     revenue_decile,
     count(*) AS n_customers,
-    round(sum(lifetime_revenue), 0) AS revenue,
+    round(sum(lifetime_revenue::DECIMAL(18, 2))::DOUBLE, 0) AS revenue,
     round(100.0::DOUBLE * sum(lifetime_revenue)
         / (SELECT sum(lifetime_revenue) FROM buyers), 2) AS pct_of_total_revenue
 FROM (

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+_local_folders: dict[str, str] = {}
+
 
 def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
     """Session for tests and the benchmark. A cluster brings its own."""
@@ -40,11 +42,12 @@ def shared_folder(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="tallyhouse-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="tallyhouse-")
+    return _local_folders[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

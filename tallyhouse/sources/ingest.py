@@ -64,24 +64,25 @@ def read_raw(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
     return union_parts({tag: read_csv_part(spark, path) for tag, path in paths.items()})
 
 
-def _number(df: DataFrame, name: str) -> Column:
-    """Double out of text; anything that is no number, and NaN, becomes NULL."""
+NUMBERS = ["quantity", "price", "customer_id"]
+
+
+def _parsed_number(df: DataFrame, name: str) -> Column:
+    """A typed number as it is; the double in a text, NULL if there is none."""
     column = F.col(name)
-    if isinstance(df.schema[name].dataType, T.StringType):
-        # Java reads a trailing d or f as part of a number
-        suffixed = column.rlike(r"[0-9.][dDfF]\s*$")
-        column = F.when(~suffixed, column.try_cast("double"))
-    else:
-        column = column.cast("double")
-    return F.when(~F.isnan(column), column)
+    if not isinstance(df.schema[name].dataType, T.StringType):
+        return column
+    # Java reads a trailing d or f as part of a number
+    suffixed = column.rlike(r"[0-9.][dDfF]\s*$")
+    return F.when(~suffixed, column.try_cast("double"))
 
 
 def _whole_number(df: DataFrame, name: str) -> Column:
-    """Bigint out of a number; a fraction becomes NULL."""
+    """Bigint out of a parsed number; a fraction or NaN becomes NULL."""
+    column = F.col(name)
     if isinstance(df.schema[name].dataType, T.IntegralType):
-        return F.col(name).cast("bigint")
-    number = _number(df, name)
-    return F.when(number == F.rint(number), number.try_cast("bigint"))
+        return column.cast("bigint")
+    return F.when(column == F.rint(column), column.try_cast("bigint"))
 
 
 def _timestamp(df: DataFrame, name: str) -> Column:
@@ -102,13 +103,15 @@ def coerce_types(df: DataFrame) -> DataFrame:
     meaning as an id and becomes NULL.
     """
     stripped = ["invoice", "stock_code", "description", "country"]
-    return df.withColumns(
+    # numbers are parsed in a projection of their own, once per value
+    parsed = df.withColumns({name: _parsed_number(df, name) for name in NUMBERS})
+    return parsed.withColumns(
         {
             **{name: strip_whitespace(F.col(name).cast("string")) for name in stripped},
-            "quantity": _whole_number(df, "quantity"),
-            "price": _number(df, "price"),
+            "quantity": _whole_number(parsed, "quantity"),
+            "price": F.nullif(F.col("price").cast("double"), F.lit(float("nan"))),
             "invoice_date": _timestamp(df, "invoice_date"),
-            "customer_id": _whole_number(df, "customer_id").cast("string"),
+            "customer_id": _whole_number(parsed, "customer_id").cast("string"),
         }
     )
 
