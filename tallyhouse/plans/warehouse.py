@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.operators import dimensions, lines, marts, orders, quality
 from tallyhouse.schemas import COUNTRY_REGION_SCHEMA
-from tallyhouse.sources.ingest import dedupe, coerce_types, read_landed, write_raw
+from tallyhouse.sources.ingest import coerce_types, dedupe, read_landed, write_raw
 from tallyhouse.sources.tables import ExportReport, export_marts, store
 from tallyhouse.sources.upsert import upsert_invoice_lines
 
@@ -111,7 +111,9 @@ class Warehouse:
             seed = store(self._country_region, self.path(name))
             return seed.select(*[c.split()[0] for c in COUNTRY_REGION_SCHEMA.split(", ")])
         if name == "fct_invoice_lines":
-            return upsert_invoice_lines(self.compute(name), self.path(name))
+            return upsert_invoice_lines(
+                self.compute(name), self.path(name), full_refresh=True
+            )
         return store(self.compute(name), self.path(name))
 
     def build(self) -> None:

@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # one run of all models generates more classes than the default cache of 100 holds
+    "spark.sql.codegen.cache.maxEntries": "2000",
 }
 
 _local_folders: dict[str, str] = {}

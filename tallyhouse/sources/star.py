@@ -62,8 +62,11 @@ def shop_lines(spark: SparkSession, folder: str, orders: DataFrame | None = None
         F.col("o_custkey") == F.col("c_custkey"),
         "left",
     )
-    lines = lineitem.join(placed, F.col("l_orderkey") == F.col("o_orderkey")).join(
-        part, F.col("l_partkey") == F.col("p_partkey"), "left"
+    # two fact tables: the planner must not take a pruned one for small and broadcast it
+    lines = (
+        lineitem.hint("merge")
+        .join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
     )
 
     cancelled = F.col("o_orderkey") % 25 == 0
