@@ -21,15 +21,11 @@ def kpi_headline(daily: DataFrame) -> DataFrame:
     )
 
 
-def revenue_trend(monthly: DataFrame) -> DataFrame:
-    """Monthly revenue, growth and customer mix."""
+def revenue_trend(monthly: DataFrame, with_customers: bool = True) -> DataFrame:
+    """Monthly revenue and growth, with or without the customer mix."""
+    customers = ["n_new_customers", "n_returning_customers", "avg_order_value"]
     return monthly.select(
-        "month",
-        "revenue",
-        "revenue_mom_pct",
-        "n_new_customers",
-        "n_returning_customers",
-        "avg_order_value",
+        "month", "revenue", "revenue_mom_pct", *(customers if with_customers else [])
     ).orderBy("month")
 
 
@@ -89,6 +85,18 @@ def rfm_segment_rollup(rfm: DataFrame) -> DataFrame:
     )
 
 
+def rfm_segment_sizes(rfm: DataFrame) -> DataFrame:
+    """S6 in short: customers and revenue of each segment."""
+    return (
+        rfm.groupBy("rfm_segment")
+        .agg(
+            F.count(F.lit(1)).alias("customers"),
+            round_half_away(money_sum(F.col("monetary"))).alias("revenue"),
+        )
+        .orderBy(F.desc("revenue"), "rfm_segment")
+    )
+
+
 def country_ranking(countries: DataFrame) -> DataFrame:
     """Countries by revenue."""
     return countries.select(
@@ -114,7 +122,7 @@ def region_rollup(countries: DataFrame, rounded: bool = True) -> DataFrame:
     )
 
 
-def top_products(ranking: DataFrame, n: int = 25) -> DataFrame:
+def top_products(ranking: DataFrame, n: int = 25, with_share: bool = True) -> DataFrame:
     """The first n products by revenue."""
     return (
         ranking.select(
@@ -123,7 +131,7 @@ def top_products(ranking: DataFrame, n: int = 25) -> DataFrame:
             "description",
             "units_sold",
             "total_revenue",
-            "revenue_share_pct",
+            *(["revenue_share_pct"] if with_share else []),
             "return_rate",
         )
         .orderBy("revenue_rank")

@@ -587,6 +587,7 @@ FROM by_day"""
         "SELECT month, revenue, revenue_mom_pct, n_new_customers, n_returning_customers,"
         " avg_order_value FROM by_month ORDER BY month"
     ),
+    "revenue_trend_short": _query("SELECT month, revenue, revenue_mom_pct FROM by_month"),
     "new_vs_returning": _query(
         """SELECT month, 'New' AS type, n_new_customers AS customers FROM by_month
 UNION ALL
@@ -609,6 +610,11 @@ SELECT month, 'Returning' AS type, n_returning_customers AS customers FROM by_mo
 FROM scores
 GROUP BY rfm_segment"""
     ),
+    "rfm_segment_sizes": _query(
+        "SELECT rfm_segment, count(*) AS customers,"
+        " round(sum(monetary::DECIMAL(18, 2))::DOUBLE, 0) AS revenue"
+        " FROM scores GROUP BY rfm_segment"
+    ),
     "country_performance": _query(
         "SELECT region, country, n_customers, n_orders, revenue, avg_order_value,"
         " revenue_share_pct FROM by_country"
@@ -624,6 +630,10 @@ GROUP BY rfm_segment"""
         "SELECT revenue_rank, stock_code, description, units_sold, total_revenue,"
         " revenue_share_pct, return_rate FROM leaders WHERE revenue_rank <= 25"
     ),
+    "top_products_short": _query(
+        "SELECT revenue_rank, stock_code, description, units_sold, total_revenue, return_rate"
+        " FROM leaders WHERE revenue_rank <= 25"
+    ),
     "revenue_concentration": _query(
         """SELECT
     revenue_decile,
@@ -651,4 +661,5 @@ GROUP BY revenue_decile"""
 FROM landed"""
     ),
     **{key: _report(failures) for key, failures in CHECK_SQL.items()},
+    "dq_all": _report({c: sql for checks in CHECK_SQL.values() for c, sql in checks.items()}),
 }

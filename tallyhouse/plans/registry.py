@@ -8,18 +8,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.operators import dimensions, marts, quality, serving
-from tallyhouse.operators.lines import line_fact, revenue_lines, stage_lines
+from tallyhouse.operators import marts, quality, serving
 from tallyhouse.plans.warehouse import MODELS, Warehouse
 from tallyhouse.session import scratch_path
 from tallyhouse.sources import ingest, seeds, star
-from tallyhouse.sources.tables import export_marts, read_export, store, write_csv
+from tallyhouse.sources.tables import export_marts, read_export, write_csv
 from tallyhouse.sources.upsert import upsert_invoice_lines
 from tallyhouse.streaming.lines import load_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-CALENDAR = (dt.date(1995, 1, 1), dt.date(2002, 1, 1))
 FIRST_DELIVERY_UNTIL = dt.date(1999, 12, 31)
 AS_OF = dt.datetime(2001, 12, 3, 0, 0, 0)
 
@@ -54,12 +52,16 @@ def _checks(table: str) -> Query:
 
 def _over(operator: Callable[..., DataFrame], *inputs: str, **options) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        store = warehouse(spark, folder)
-        return operator(*[store.read(name) for name in inputs], **options)
+        read = warehouse(spark, folder).read
+        return operator(*[read(name) for name in inputs], **options)
 
     return query
 
 
+def all_checks(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.all_checks(warehouse(spark, folder).read)
+
+
 def raw_union(spark: SparkSession, folder: str) -> DataFrame:
     return ingest.union_parts(star.shop_parts(spark, folder))
 
@@ -174,6 +176,9 @@ QUERIES: dict[str, Query] = {
     "mart_country_performance_builtin_seed": country_performance_builtin_seed,
     "kpi_headline": _over(serving.kpi_headline, "mart_revenue_daily"),
     "revenue_trend": _over(serving.revenue_trend, "mart_revenue_monthly"),
+    "revenue_trend_short": _over(
+        serving.revenue_trend, "mart_revenue_monthly", with_customers=False
+    ),
     "new_vs_returning": _over(serving.new_vs_returning, "mart_revenue_monthly"),
     "cohort_retention": _over(serving.cohort_retention, "mart_customer_cohorts"),
     "cohort_retention_one_year": _over(
@@ -181,12 +186,16 @@ QUERIES: dict[str, Query] = {
     ),
     "cohort_matrix": _over(serving.cohort_matrix, "mart_customer_cohorts"),
     "rfm_segment_rollup": _over(serving.rfm_segment_rollup, "mart_rfm_segments"),
+    "rfm_segment_sizes": _over(serving.rfm_segment_sizes, "mart_rfm_segments"),
     "country_performance": _over(serving.country_ranking, "mart_country_performance"),
     "region_rollup": _over(serving.region_rollup, "mart_country_performance"),
     "region_rollup_exact": _over(
         serving.region_rollup, "mart_country_performance", rounded=False
     ),
     "top_products": _over(serving.top_products, "mart_product_performance"),
+    "top_products_short": _over(
+        serving.top_products, "mart_product_performance", with_share=False
+    ),
     "revenue_concentration": _over(serving.revenue_concentration, "dim_customers"),
     "quality_snapshot": _over(serving.quality_snapshot, "mart_data_quality"),
     "export_roundtrip": export_roundtrip,
@@ -203,4 +212,5 @@ QUERIES: dict[str, Query] = {
     "dq_order_revenue_reconciles": _over(
         quality.order_revenue_reconciles, "fct_invoice_lines", "fct_orders"
     ),
+    "dq_all": all_checks,
 }

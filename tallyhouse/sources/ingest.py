@@ -43,9 +43,16 @@ def normalize_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[HEADER_NAMES.get(header, header) for header in headers])
 
 
-def read_csv_part(spark: SparkSession, path: str) -> DataFrame:
-    """One delimited part, all columns as text under its own header."""
-    return spark.read.option("header", True).option("escape", '"').csv(path)
+def read_part(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """One part under its own header: a Parquet file or folder by its name, else CSV as text.
+
+    Values with line breaks need ``multi_line``; it keeps a CSV file in one split, so it
+    is not the default.
+    """
+    if path.endswith(".parquet"):
+        return spark.read.parquet(path)
+    reader = spark.read.option("header", True).option("multiLine", multi_line)
+    return reader.option("escape", '"').csv(path)
 
 
 def union_parts(parts: Mapping[str, DataFrame]) -> DataFrame:
@@ -60,8 +67,8 @@ def union_parts(parts: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def read_raw(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
-    """L1 over files: ``paths`` maps a part name to a CSV file or folder."""
-    return union_parts({tag: read_csv_part(spark, path) for tag, path in paths.items()})
+    """L1 over files: ``paths`` maps a part name to its file or folder."""
+    return union_parts({tag: read_part(spark, path) for tag, path in paths.items()})
 
 
 NUMBERS = ["quantity", "price", "customer_id"]
@@ -157,22 +164,16 @@ def read_landed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW_SCHEMA).parquet(path)
 
 
-def load_parts(parts: Mapping[str, DataFrame], path: str, loaded_at: dt.datetime) -> int:
-    """L6 on frames: L1 to L5 in one job."""
-    return write_raw(dedupe(coerce_types(union_parts(parts))), path, loaded_at)
-
-
 def load(
     spark: SparkSession, paths: Mapping[str, str], path: str, loaded_at: dt.datetime
 ) -> int:
-    """L6 on files."""
-    parts = {tag: read_csv_part(spark, part) for tag, part in paths.items()}
-    return load_parts(parts, path, loaded_at)
+    """L1 to L5 in one job; returns the row count."""
+    return write_raw(dedupe(coerce_types(read_raw(spark, paths))), path, loaded_at)
 
 
 def load_sample(spark: SparkSession, csv_path: str, path: str, loaded_at: dt.datetime) -> int:
     """A CSV that already has the final headers; copies stay in."""
-    return write_raw(coerce_types(read_csv_part(spark, csv_path)), path, loaded_at)
+    return write_raw(coerce_types(read_part(spark, csv_path)), path, loaded_at)
 
 
 def rejected_values(before: DataFrame) -> DataFrame:

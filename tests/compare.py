@@ -33,7 +33,7 @@ def _types(table: pa.Table) -> dict[str, str]:
 def differences(result: DataFrame, connection: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
     """What differs; empty when the two agree exactly, doubles included."""
     got = result.toArrow()
-    want = connection.execute(sql).to_arrow_table()
+    want = connection.sql(sql).to_arrow_table()
     found = []
     if _types(got) != _types(want):
         found.append(f"schema {_types(got)} != {_types(want)}")

@@ -157,6 +157,15 @@ def test_full_load_from_files(spark, tmp_path):
     assert ingest.read_landed(spark, f"{tmp_path}/raw").count() == 1
 
 
+def test_parquet_part_and_line_breaks(spark, tmp_path):
+    typed = spark.createDataFrame([("1", "two\nlines")], "Invoice string, Description string")
+    typed.write.parquet(f"{tmp_path}/part.parquet")
+    write_csv(typed, f"{tmp_path}/part")
+    for path in ("part.parquet", "part"):
+        part = ingest.read_part(spark, f"{tmp_path}/{path}", multi_line=True)
+        assert part.first().Description == "two\nlines"
+
+
 def test_sample_load_keeps_copies(spark, tmp_path):
     rows = raw(spark, line(), line()).drop("_source_sheet")
     path = write_csv(rows, f"{tmp_path}/sample")
