@@ -27,5 +27,23 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
   CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM words LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+""",
+    "op2_substring_dedup": r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, s, md5(array_to_string(w[s:s + 34], ' ')) AS key
+  FROM words, unnest(range(1, greatest(len(w) - 33, 1))) t(s)),
+repeated AS (SELECT key FROM windows GROUP BY key HAVING count(*) > 1),
+gone AS (
+  SELECT doc_id, list(DISTINCT p) AS places FROM windows SEMI JOIN repeated USING (key), unnest(range(s, s + 35)) t(p)
+  GROUP BY doc_id),
+kept AS (
+  SELECT doc_id, string_agg(w[p], ' ' ORDER BY p) AS text
+  FROM words LEFT JOIN gone USING (doc_id), unnest(range(1, len(w) + 1)) t(p)
+  WHERE places IS NULL OR NOT list_contains(places, p) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM words LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
 """,
 }
