@@ -45,5 +45,26 @@ kept AS (
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed,
   sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM words LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
+""",
+    "op7_minhash_neardup": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[s:s + 4], ' ') AS key
+  FROM words, unnest(range(1, greatest(len(w) - 3, 2))) t(s) WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+  FROM shingles a JOIN shingles b ON a.key = b.key AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * common >= 85 * (x.n + y.n - common)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id, doc_id AS other FROM words UNION SELECT reach.doc_id, edges.b FROM reach JOIN edges ON edges.a = reach.other)
+SELECT words.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, words.doc_id = component_id AS kept
+FROM words LEFT JOIN sizes USING (doc_id)
+JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)
 """,
 }
