@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, neardup, repeats
+from ..session import scratch_path
+from . import decontaminate, neardup, repeats, tokenfile
 from .frames import table
 
 
@@ -29,6 +30,21 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        spec = file.read()
+    path = scratch_path(spark, "tokens")
+    tokenfile.write(table(spark, sf_dir, "documents"), path, spec, end_id=1)
+    return tokenfile.read(spark, path).select(
+        F.col("id").alias("doc_id"),
+        "start",
+        (F.length("tokens") / 4).cast("long").alias("n_tokens"),
+        F.crc32("tokens").alias("ids_crc32"),
+    )
+
+
 def op7_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = neardup.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
@@ -37,5 +53,6 @@ def op7_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_token_files": op3_token_files,
     "op7_minhash_neardup": op7_minhash_neardup,
 }
