@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontaminate, neardup, repeats, tokenfile
+from . import decontaminate, neardup, repeats, tokenfile, toxicity
 from .frames import table
+from .labelled import held_out, labelled_sample
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,6 +46,17 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lexicon = toxicity.learn(labelled_sample(docs, table(spark, sf_dir, "labels"), "toxic"))
+    return toxicity.score(docs, lexicon).select(
+        "doc_id",
+        held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op7_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = neardup.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
@@ -54,5 +66,6 @@ QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_token_files": op3_token_files,
+    "op4_toxicity": op4_toxicity,
     "op7_minhash_neardup": op7_minhash_neardup,
 }
