@@ -1,5 +1,25 @@
 """DuckDB SQL of the queries that SQL can express."""
 
+# label, words, first word of the key phrase, words of the key phrase, base rule
+_LICENCES = """
+  ('mit', 'under the mit license', 1, 4, true),
+  ('apache-2', 'apache license version 2', 1, 4, true),
+  ('cc-by-nc', 'cc by nc', 1, 3, true),
+  ('mit', 'permission is hereby granted free of charge to any person obtaining a copy', 1, 4, false),
+  ('mit', 'spdx license identifier mit', 1, 4, false),
+  ('apache-2', 'spdx license identifier apache 2', 1, 5, false),
+  ('apache-2', 'you may not use this file except in compliance with the license', 8, 5, false),
+  ('gpl-2', 'under the gnu general public license version 2', 4, 5, false),
+  ('gpl-3', 'under the gnu general public license version 3', 4, 5, false),
+  ('lgpl', 'gnu lesser general public license', 1, 5, false),
+  ('agpl', 'gnu affero general public license', 1, 5, false),
+  ('bsd', 'redistribution and use in source and binary forms with or without modification', 5, 4, false),
+  ('mpl-2', 'mozilla public license version 2', 1, 5, false),
+  ('cc-by-sa', 'cc by sa', 1, 3, false),
+  ('cc0', 'cc0 1 0 universal', 1, 4, false),
+  ('unlicense', 'this is free and unencumbered software released into the public domain', 3, 4, false)
+"""
+
 ORACLE = {
     "op1_decontaminate": r"""
 WITH words AS (
@@ -66,5 +86,29 @@ reach AS (SELECT doc_id, doc_id AS other FROM words UNION SELECT reach.doc_id, e
 SELECT words.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, words.doc_id = component_id AS kept
 FROM words LEFT JOIN sizes USING (doc_id)
 JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)
+""",
+    "op5_license_scan": r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+templates AS (
+  SELECT label, string_split(words, ' ') AS t, k, kn, base
+  FROM (VALUES""" + _LICENCES + r""") v(label, words, k, kn, base)),
+places AS (
+  SELECT doc_id, label, base, s, len(t) AS n,
+    len([1 FOR i IN range(1, len(t) + 1) IF w[s + i] = t[i]]) AS same
+  FROM words, templates, unnest(range(0, greatest(len(w) - len(t) + 1, 0))) p(s)
+  WHERE w[s + k:s + k + kn - 1] = t[k:k + kn - 1]),
+found AS (SELECT *, same / n AS share FROM places WHERE same / n >= 0.8),
+rolled AS (
+  SELECT doc_id, count(*) FILTER (WHERE base) AS n_base, min(s) FILTER (WHERE base) AS first_word,
+    max(s) FILTER (WHERE base) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base) AS base_labels,
+    string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score
+  FROM found GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, first_word, last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, CAST(coalesce(score, 0) AS DOUBLE) AS score
+FROM words LEFT JOIN rolled USING (doc_id)
 """,
 }

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontaminate, neardup, repeats, tokenfile, toxicity
+from . import decontaminate, licenses, neardup, repeats, tokenfile, toxicity
 from .frames import table
 from .labelled import held_out, labelled_sample
 
@@ -57,6 +57,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scan(docs).select("doc_id", *licenses.FIELDS)
+
+
 def op7_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = neardup.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
@@ -67,5 +72,6 @@ QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_token_files": op3_token_files,
     "op4_toxicity": op4_toxicity,
+    "op5_license_scan": op5_license_scan,
     "op7_minhash_neardup": op7_minhash_neardup,
 }
