@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontaminate, licenses, neardup, repeats, tokenfile, toxicity
+from . import decontaminate, licenses, neardup, quality, repeats, rules, tokenfile, toxicity
 from .frames import table
 from .labelled import held_out, labelled_sample
 
@@ -62,16 +62,36 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(docs).select("doc_id", *licenses.FIELDS)
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.learn(labelled_sample(docs, table(spark, sf_dir, "labels"), "quality"))
+    return quality.score(docs, model).select(
+        "doc_id",
+        held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op7_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = neardup.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    forest = rules.learn(labelled_sample(docs, table(spark, sf_dir, "labels"), "quality"))
+    columns = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return rules.judge(docs, forest).select("doc_id", *columns)
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_token_files": op3_token_files,
     "op4_toxicity": op4_toxicity,
     "op5_license_scan": op5_license_scan,
+    "op6_quality": op6_quality,
     "op7_minhash_neardup": op7_minhash_neardup,
+    "op8_quality_rules": op8_quality_rules,
 }
