@@ -20,6 +20,8 @@ a component is named by the smallest id in it. Repeated rows are copies of each
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,6 +37,8 @@ POSITIONS = 128
 BITS = 8
 MAX_DISTANCE = 37
 CHUNKS = 19
+#: Keys of a bucket of the index, about.
+BUCKET_KEYS = 2_000_000
 #: Rows, and shingles, of one side of a comparison in one task.
 BLOCK = 1000
 BLOCK_SHINGLES = 1_000_000
@@ -103,8 +107,12 @@ def _describe(text_col: str):
     return run
 
 
-def _index_keys(buckets: int):
-    """Messages of (class, keys) to the buckets of the keys."""
+def _index_keys(splits: int):
+    """Messages of (class, keys) to the buckets of the keys.
+
+    All keys of a chunk go to one bucket, or to ``splits`` of them by hash, so a class has at
+    most one entry in the forest of each chunk and split, whatever the number of tasks.
+    """
 
     def run(batches):
         for batch in batches:
@@ -120,10 +128,11 @@ def _index_keys(buckets: int):
                     keys[:, k] = mix(whole - values[:, k] + np.uint64(k))
             flat = keys.ravel()
             owner = np.repeat(np.arange(n), POSITIONS)
-            target = ((flat >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
+            chunk = np.tile(np.repeat(np.arange(CHUNKS), np.diff(_CUTS)), n)
+            target = chunk * splits + ((flat >> np.uint64(20)) % np.uint64(splits)).astype(np.int64)
             order = np.lexsort((owner, target))
             flat, owner, target = flat[order], owner[order], target[order]
-            ends = np.searchsorted(target, np.arange(buckets + 1))
+            ends = np.searchsorted(target, np.arange(CHUNKS * splits + 1))
             names = batch.column("cls").to_pylist()
             out = []
             for bucket in np.unique(target).tolist():
@@ -227,19 +236,19 @@ def near_duplicates(
     """For each row ``id``, ``row`` (hash of its text), ``n_shingles``, ``component_id``, ``kept``."""
     spark = docs.sparkSession
     ship(spark)
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(docs[id_col].alias("id"), F.xxhash64(docs[text_col]).alias("row"), docs[text_col].alias("_text"))
     path = scratch_path(spark, "signatures")
     fields = f"id {docs.schema[id_col].dataType.simpleString()}, row bigint, n_shingles bigint, cls binary, signature binary"
     map_arrow(rows, _describe("_text"), fields).write.parquet(path)
     described = spark.read.parquet(path)
 
+    splits = math.ceil((described.where("cls IS NOT NULL").count() + 1) * POSITIONS / CHUNKS / BUCKET_KEYS)
     classes = described.where("cls IS NOT NULL").groupBy("cls")
     signed = classes.agg(F.first("signature").alias("signature"))
     named = classes.agg(
         F.min(F.struct(F.col("id"), F.col("row"))).alias("one"), F.min("id").alias("least"), F.max("n_shingles").alias("n")
     )
-    sent = map_arrow(signed, _index_keys(buckets), "target int, classes binary, counts binary, keys binary")
+    sent = map_arrow(signed, _index_keys(splits), "target int, classes binary, counts binary, keys binary")
     family = components(sent.groupBy("target").applyInArrow(_candidates, "a binary, b binary"))
 
     # rows of one family are compared in blocks: every pair of blocks meets in one task
