@@ -51,12 +51,12 @@ def enrich(
     docs: DataFrame,
     fields: str,
     rows: Callable[[pa.RecordBatch], dict[str, object]],
-    column: str = "text",
+    column: str | None = "text",
 ) -> DataFrame:
     """Add columns that ``rows`` computes from each slice of an Arrow batch.
 
-    One narrow pass: no shuffle, and memory follows a slice of a few megabytes. A column of
-    the input whose name is among ``fields`` is replaced.
+    One narrow pass: no shuffle, and memory follows a slice of a few megabytes of ``column``
+    (whole batches where it is None). A column of the input whose name is among ``fields`` is replaced.
     """
     added = T._parse_datatype_string(fields)
     names = without(docs, added.names).columns
@@ -64,7 +64,7 @@ def enrich(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, column):
+            for part in slices(batch, column) if column else [batch]:
                 out = rows(part)
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(n) for n in names), *(as_array(out[n]) for n in added.names)],

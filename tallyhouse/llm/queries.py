@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontaminate, licenses, neardup, quality, repeats, rules, tokenfile, toxicity
+from . import decontaminate, licenses, neardup, pieces, quality, repeats, rules, tokenfile, toxicity
 from .frames import table
 from .labelled import held_out, labelled_sample
 
@@ -85,6 +85,25 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(docs, forest).select("doc_id", *columns)
 
 
+def piece_model() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    vocabulary = pieces.Vocabulary.of(piece_model())
+    encoded = pieces.encode(docs, vocabulary)
+    decoded = pieces.decode(encoded, vocabulary, column="decoded")
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_ids"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+    )
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_substring_dedup": op2_substring_dedup,
@@ -94,4 +113,5 @@ QUERIES = {
     "op6_quality": op6_quality,
     "op7_minhash_neardup": op7_minhash_neardup,
     "op8_quality_rules": op8_quality_rules,
+    "op10_sentencepiece": op10_sentencepiece,
 }
