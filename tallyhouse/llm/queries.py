@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontaminate, licenses, neardup, pieces, quality, repeats, rules, tokenfile, toxicity
+from . import decontaminate, licenses, neardup, pieces, quality, repeats, rules, tokenfile, toxicity, webpages
 from .frames import table
 from .labelled import held_out, labelled_sample
 
@@ -85,6 +85,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(docs, forest).select("doc_id", *columns)
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return webpages.extract_pages(pages).select("page_id", "url", "text", "n_chars")
+
+
 def piece_model() -> str:
     import public_tokenizers
 
@@ -113,5 +118,6 @@ QUERIES = {
     "op6_quality": op6_quality,
     "op7_minhash_neardup": op7_minhash_neardup,
     "op8_quality_rules": op8_quality_rules,
+    "op9_html_extraction": op9_html_extraction,
     "op10_sentencepiece": op10_sentencepiece,
 }
