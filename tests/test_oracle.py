@@ -4,6 +4,8 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as driver
+from tallyhouse.plans.oracle import ORACLE
+from tallyhouse.plans.registry import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -11,14 +13,15 @@ def connection(small):
     return connect(small)
 
 
-@pytest.mark.parametrize("name", list(driver.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_oracle(spark, small, connection, name):
     result = driver.queries()[name](spark, small)
     assert differences(result, connection, driver.oracle_sql()[name]) == []
+    assert driver.queries()[name] is QUERIES[name]
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry(spark):
