@@ -162,7 +162,7 @@ def _cache(name: str, vocabulary: Vocabulary) -> WordCache:
             found = [search.encode(s.decode()) for s in stretches]
             return np.array([i for f in found for i in f], np.int32), np.array([len(f) for f in found], np.int64)
 
-        _caches[name] = WordCache(ids_of)
+        _caches[name] = WordCache(ids_of, len(vocabulary.spelled))
     return _caches[name]
 
 

@@ -12,6 +12,8 @@ ids stay side by side in no fixed order. A table without rows gives files withou
 from __future__ import annotations
 
 import hashlib
+import json
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 from .frames import map_arrow
 from .huffman import Code, code_lengths
 from .text import SOLID, Words, slices
-from .wordcache import WordCache
+from .wordcache import WordCache, ragged
 
 BLOCK_IDS = 1 << 16
 #: a control character, an id of its own between words that are encoded together
@@ -30,38 +32,77 @@ _MARK = "\x01"
 _caches: dict[str, WordCache] = {}
 
 
+#: words of letters that have one form only: normalising and splitting leave them whole
+_PLAIN = re.compile("[A-Za-z\u00df-\u00f6\u00f8-\u00ff]+")
+
+
+def _plain_tokenizer(spec: str):
+    """A tokenizer with the same model and less to do before it, for _PLAIN words, or None.
+
+    It is the same for a tokenizer that composes, lower-cases and keeps runs of letters.
+    """
+    from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+    def kinds(part: dict | None, inner: str) -> list[str]:
+        return [x["type"] for x in (part or {}).get(inner, [])]
+
+    parts = json.loads(spec)
+    if kinds(parts["normalizer"], "normalizers") != ["NFC", "Replace", "Lowercase"]:
+        return None
+    if kinds(parts["pre_tokenizer"], "pretokenizers") != ["Split", "ByteLevel"]:
+        return None
+    if r"[\p{L}]+" not in parts["pre_tokenizer"]["pretokenizers"][0]["pattern"].get("Regex", ""):
+        return None
+    tokenizer = Tokenizer.from_str(spec)
+    tokenizer.normalizer = normalizers.Lowercase()
+    tokenizer.pre_tokenizer = pre_tokenizers.Sequence(
+        [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+    )
+    return tokenizer
+
+
+def _together(tokenizer, mark: int, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of words that are encoded many at a time, with marks between them."""
+    ids, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+    for i in range(0, len(texts), 1000):
+        found = np.array(tokenizer.encode(f" {_MARK} ".join(texts[i : i + 1000]), add_special_tokens=False).ids, np.int32)
+        ends = np.r_[np.flatnonzero(found == mark), len(found)]
+        sizes.append(np.diff(np.r_[-1, ends]) - 1)
+        ids.append(found[found != mark])
+    return np.concatenate(ids), np.concatenate(sizes)
+
+
 def word_cache(spec: str) -> WordCache:
     """The worker's cache for a tokenizer that drops white space, given as JSON."""
     name = hashlib.sha256(spec.encode()).hexdigest()
     if name not in _caches:
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_str(spec)
+        tokenizer, plain = Tokenizer.from_str(spec), _plain_tokenizer(spec)
         mark = tokenizer.encode(_MARK, add_special_tokens=False).ids
 
-        def alone(word: str) -> list[int]:
-            return tokenizer.encode(word, add_special_tokens=False).ids
+        def alone(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            found = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+            return np.array([i for f in found for i in f], np.int32), np.array([len(f) for f in found], np.int64)
 
         def encode(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             texts = [w.decode() for w in words]
-            marked = [len(mark) != 1 or _MARK in t for t in texts]
-            plain = [t for t, m in zip(texts, marked) if not m]
-            joined = [f" {_MARK} ".join(plain[i : i + 1000]) for i in range(0, len(plain), 1000)]
-            ids, sizes = [], []
-            for group in joined:
-                found = np.array(alone(group), np.int32)
-                ends = np.r_[np.flatnonzero(found == mark[0]), len(found)]
-                sizes.append(np.diff(np.r_[-1, ends]) - 1)
-                ids.append(found[found != mark[0]])
-            ids = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-            sizes = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
-            if not any(marked):
-                return ids, sizes
-            rest = iter(np.split(ids, np.cumsum(sizes)[:-1])) if len(sizes) else iter(())
-            parts = [np.array(alone(t), np.int32) if m else next(rest) for t, m in zip(texts, marked)]
-            return np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
-
-        _caches[name] = WordCache(encode)
+            if len(mark) != 1:
+                return alone(texts)
+            way = [0 if _MARK in t else 1 if plain is None or not _PLAIN.fullmatch(t) else 2 for t in texts]
+            ways = (alone, lambda x: _together(tokenizer, mark[0], x), lambda x: _together(plain, mark[0], x))
+            way = np.array(way)
+            sizes, parts, starts = np.zeros(len(texts), np.int64), [], np.zeros(len(texts), np.int64)
+            done = 0
+            for k, run in enumerate(ways):
+                own = np.flatnonzero(way == k)
+                ids, sizes[own] = run([texts[i] for i in own.tolist()])
+                starts[own] = done + np.cumsum(sizes[own]) - sizes[own]
+                parts.append(ids)
+                done += len(ids)
+            return np.concatenate(parts)[ragged(starts, sizes)], sizes
+
+        _caches[name] = WordCache(encode, tokenizer.get_vocab_size(with_added_tokens=True))
     return _caches[name]
 
 

@@ -13,7 +13,7 @@ import numpy as np
 
 from .text import Words
 
-MOST_WORDS = 1_000_000
+MOST_WORDS = 4_000_000
 
 
 def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -22,41 +22,66 @@ def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
+class _Level:
+    """Sorted hashes, and where their ids are."""
+
+    def __init__(self, keys: np.ndarray, starts: np.ndarray, sizes: np.ndarray):
+        order = np.argsort(keys)
+        self.keys, self.starts, self.sizes = keys[order], starts[order].astype(np.int32), sizes[order].astype(np.int32)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(self.keys):
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return at, self.keys[at] == keys
+
+    def joined(self, other: _Level) -> _Level:
+        return _Level(*(np.r_[a, b] for a, b in zip(vars(self).values(), vars(other).values())))
+
+
+_NONE = _Level(np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32))
+
+
 class WordCache:
-    """``encode`` maps a list of words to (ids of all words in a row, number of each)."""
+    """``encode`` maps a list of words to (ids of all words in a row, number of each).
 
-    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]):
+    New words go to a small level, which is merged into the large one from time to time.
+    """
+
+    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], most_ids: int = 1 << 31):
         self.encode = encode
+        self.kind = np.uint16 if most_ids <= 1 << 16 else np.int32
         self.clear()
 
     def clear(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
-        self.starts = np.zeros(0, np.int64)
-        self.sizes = np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.int32)
+        self.large = self.small = _NONE
+        self.ids, self.used = np.zeros(1 << 16, self.kind), 0
 
-    def _find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if not len(self.keys):
-            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return at, self.keys[at] == keys
+    def __len__(self) -> int:
+        return len(self.large.keys) + len(self.small.keys)
+
+    def _add(self, keys: np.ndarray, words: list[bytes]) -> None:
+        ids, sizes = self.encode(words)
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.r_[self.ids, np.zeros_like(self.ids)]
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.small = self.small.joined(_Level(keys, self.used + np.cumsum(sizes) - sizes, sizes))
+        self.used += len(ids)
+        if 4 * len(self.small.keys) > len(self.large.keys):
+            self.large, self.small = self.large.joined(self.small), _NONE
 
     def __call__(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words of a slice, and the number of ids of each word."""
         distinct, one, slot = np.unique(words.hashes(), return_index=True, return_inverse=True)
-        _, known = self._find(distinct)
-        if len(self.keys) and len(self.keys) + (~known).sum() > MOST_WORDS:
+        new = np.flatnonzero(~(self.large.find(distinct)[1] | self.small.find(distinct)[1]))
+        if len(self) and len(self) + len(new) > MOST_WORDS:
             self.clear()
-            known[:] = False
-        new = np.flatnonzero(~known)
+            new = np.arange(len(distinct))
         if len(new):
-            ids, sizes = self.encode([words.word(i) for i in one[new].tolist()])
-            keys = np.r_[self.keys, distinct[new]]
-            order = np.argsort(keys)
-            starts = np.r_[self.starts, len(self.ids) + np.cumsum(sizes) - sizes]
-            self.keys, self.starts = keys[order], starts[order]
-            self.sizes = np.r_[self.sizes, sizes][order]
-            self.ids = np.r_[self.ids, ids.astype(np.int32)]
-        at = self._find(distinct)[0][slot]
-        sizes = self.sizes[at]
-        return self.ids[ragged(self.starts[at], sizes)], sizes
+            self._add(distinct[new], [words.word(i) for i in one[new].tolist()])
+        starts, sizes = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
+        for level in (self.large, self.small):
+            at, known = level.find(distinct)
+            starts[known], sizes[known] = level.starts[at[known]], level.sizes[at[known]]
+        sizes = sizes[slot]
+        return self.ids[ragged(starts[slot], sizes)].astype(np.int32), sizes
