@@ -19,14 +19,17 @@ def load_new_files(
     """Load the files that arrived since the last call and stop; returns the line fact.
 
     All new files form one batch: the date boundary is strict, so splitting one
-    delivery into several batches would cut off lines of its last day. A batch that
-    was written and is run again, because the driver failed before the stream noted
-    it, finds its lines on or before the boundary and adds nothing twice.
+    delivery into several batches would cut off lines of its last day. A batch is a
+    load named by the stream and its number: one that broke off was never visible and
+    is loaded whole when the stream repeats it, a committed one is not loaded again.
     """
 
-    def load(batch: DataFrame, _batch_id: int) -> None:
+    def load(batch: DataFrame, batch_id: int) -> None:
         upsert_invoice_lines(
-            revenue_lines(stage_lines(batch)), target, lookback_days=lookback_days
+            revenue_lines(stage_lines(batch)),
+            target,
+            lookback_days=lookback_days,
+            load_id=f"{checkpoint}#{batch_id}",
         )
 
     query = (
