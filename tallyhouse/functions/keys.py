@@ -10,13 +10,38 @@ NULL_TEXT = "_dbt_utils_surrogate_key_null_"
 
 
 def double_text(value: Column) -> Column:
-    """Plain decimal text of a double, also where Spark would write an exponent."""
+    """Text of a double as a key holds it: plain digits from 1e-4 up to 1e16, else an exponent.
+
+    Spark's own text is the shortest that gives the double back, but turns to an exponent
+    outside 1e-3 .. 1e7. Its digits are moved by the exponent, none is rounded. (From 1e16 on
+    Java 17 can write one digit more than the shortest text has.)
+    """
     text = value.cast("string")
-    size = F.abs(value)
-    plain = F.rtrim(text.cast("decimal(38,18)").cast("string"), F.lit("0"))
-    plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
-    exponent = ((size >= 1e7) & (size < 1e16)) | ((size >= 1e-4) & (size < 1e-3))
-    return F.when(exponent, plain).otherwise(text)
+    short = text.rlike("E")
+    mantissa, exponent = F.split_part(text, F.lit("E"), F.lit(1)), F.split_part(text, F.lit("E"), F.lit(2))
+    sign = F.when(mantissa.startswith("-"), "-").otherwise("")
+    digits = F.rtrim(F.translate(mantissa, "-.", ""), F.lit("0"))
+    power = exponent.try_cast("int")
+    size = F.length(digits)
+    below_one = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+    whole = F.concat(digits, F.repeat(F.lit("0"), power + 1 - size), F.lit(".0"))
+    split = F.concat(digits.substr(F.lit(1), power + 1), F.lit("."), digits.substr(power + 2, size))
+    rest = F.when(size > 1, F.concat(F.lit("."), digits.substr(F.lit(2), size))).otherwise("")
+    with_exponent = F.concat(
+        digits.substr(F.lit(1), F.lit(1)),
+        rest,
+        F.when(power < 0, "e-").otherwise("e+"),
+        F.lpad(F.abs(power).cast("string"), F.greatest(F.length(F.abs(power).cast("string")), F.lit(2)), F.lit("0")),
+    )
+    moved = (
+        F.when((power < -4) | (power > 15), with_exponent)
+        .when(power < 0, below_one)
+        .when(size <= power + 1, whole)
+        .otherwise(split)
+    )
+    # the fixed words of what is no finite number
+    odd = F.when(F.isnan(value), "nan").when(text == "Infinity", "inf").when(text == "-Infinity", "-inf")
+    return F.coalesce(odd, F.when(short, F.concat(sign, moved)).otherwise(text))
 
 
 def surrogate_key(*fields: Column) -> Column:

@@ -10,7 +10,6 @@ half, and then the order in which doubles are added would decide the result.
 
 from __future__ import annotations
 
-from tallyhouse.sources.seeds import REGION_COUNTRIES
 
 # name of each step, and the select behind it; a step may use the ones before it
 STEPS: dict[str, str] = {}
@@ -19,7 +18,8 @@ STEPS["shop"] = """
     SELECT
         concat(if(o_orderkey % 25 = 0, 'C', ''), o_orderkey::VARCHAR) AS invoice,
         concat(' sku', l_partkey::VARCHAR, ' ') AS stock_code,
-        if(l_partkey % 50 = 0, ' ', p_name) AS description,
+        CASE l_partkey % 50 WHEN 0 THEN ' ' WHEN 1 THEN p_name || chr(10) || '"boxed", new'
+            ELSE p_name END AS description,
         (if(o_orderkey % 25 = 0 OR l_partkey % 97 = 0 OR (l_returnflag = 'R' AND l_tax = 0.08),
             -1, 1) * l_quantity)::INTEGER AS quantity,
         o_orderdate + to_minutes(o_orderkey % 1440) AS invoice_date,
@@ -52,6 +52,26 @@ STEPS["typed"] = """
         _source_sheet
     FROM sheets"""
 
+STEPS["damaged"] = """
+    SELECT
+        l_orderkey::VARCHAR AS invoice, l_linenumber::VARCHAR AS stock_code,
+        NULL::VARCHAR AS description,
+        if(l_partkey % 8 IN (0, 1), NULL, l_quantity::BIGINT) AS quantity,
+        CASE l_partkey % 8 WHEN 5 THEN NULL WHEN 6 THEN TIMESTAMP '2011-03-13 02:30:00'
+            WHEN 7 THEN NULL ELSE date_trunc('day', l_shipdate)::TIMESTAMP END AS invoice_date,
+        if(l_partkey % 8 IN (2, 3, 4, 5), NULL, l_extendedprice::DECIMAL(18, 2)::DOUBLE) AS price,
+        if(l_partkey % 8 IN (1, 2), NULL, l_suppkey::VARCHAR) AS customer_id,
+        'Nowhere' AS country, 'Damaged' AS _source_sheet
+    FROM lineitem"""
+
+STEPS["rejections"] = """
+    SELECT
+        count(*) FILTER (l_partkey % 8 IN (0, 1)) AS quantity,
+        count(*) FILTER (l_partkey % 8 IN (2, 3, 4, 5)) AS price,
+        count(*) FILTER (l_partkey % 8 IN (5, 7)) AS invoice_date,
+        count(*) FILTER (l_partkey % 8 IN (1, 2)) AS customer_id
+    FROM lineitem"""
+
 STEPS["scanned_once"] = """
     SELECT * FROM typed
     QUALIFY row_number() OVER (
@@ -268,12 +288,12 @@ STEPS["scores"] = """
         *,
         r_score + f_score + m_score AS rfm_total,
         CASE
-            WHEN f_score > 3 AND r_score > 3 THEN 'Champions'
-            WHEN f_score > 3 AND r_score = 1 THEN 'Cannot Lose Them'
+            WHEN f_score >= 4 AND r_score >= 4 THEN 'Champions'
+            WHEN f_score >= 4 AND r_score = 1 THEN 'Cannot Lose Them'
             WHEN f_score = 3 AND r_score = 1 THEN 'Needs Attention'
-            WHEN f_score > 2 AND r_score = 2 THEN 'At Risk'
-            WHEN f_score > 2 THEN 'Loyal Customers'
-            WHEN r_score > 3 THEN 'New / Promising'
+            WHEN f_score >= 3 AND r_score = 2 THEN 'At Risk'
+            WHEN f_score >= 3 THEN 'Loyal Customers'
+            WHEN r_score >= 4 THEN 'New / Promising'
             WHEN r_score = 3 THEN 'Potential Loyalists'
             ELSE 'Hibernating / Lost'
         END AS rfm_segment
@@ -498,17 +518,52 @@ CHECK_SQL: dict[str, dict[str, str]] = {
 }
 
 
-def _quoted(text: str) -> str:
-    return "'" + text.replace("'", "''") + "'"
-
-
-def _builtin_seed() -> str:
-    rows = [
-        f"({_quoted(country)}, {_quoted(region)})"
-        for region, countries in REGION_COUNTRIES.items()
-        for country in countries
-    ]
-    return f"(SELECT * FROM (VALUES {', '.join(rows)}) built_in(country, region))"
+# fixed values: the region of each country, stated apart from the seed that is checked
+_BUILTIN_SEED = """(SELECT * FROM (VALUES
+    ('United Kingdom', 'UK & Ireland'),
+    ('EIRE', 'UK & Ireland'),
+    ('Channel Islands', 'UK & Ireland'),
+    ('France', 'Western Europe'),
+    ('Germany', 'Western Europe'),
+    ('Netherlands', 'Western Europe'),
+    ('Belgium', 'Western Europe'),
+    ('Switzerland', 'Western Europe'),
+    ('Austria', 'Western Europe'),
+    ('Luxembourg', 'Western Europe'),
+    ('Denmark', 'Northern Europe'),
+    ('Finland', 'Northern Europe'),
+    ('Norway', 'Northern Europe'),
+    ('Sweden', 'Northern Europe'),
+    ('Iceland', 'Northern Europe'),
+    ('Lithuania', 'Northern Europe'),
+    ('Poland', 'Eastern Europe'),
+    ('Czech Republic', 'Eastern Europe'),
+    ('Greece', 'Southern Europe'),
+    ('Italy', 'Southern Europe'),
+    ('Spain', 'Southern Europe'),
+    ('Portugal', 'Southern Europe'),
+    ('Malta', 'Southern Europe'),
+    ('Cyprus', 'Southern Europe'),
+    ('European Community', 'Other Europe'),
+    ('USA', 'North America'),
+    ('Canada', 'North America'),
+    ('Brazil', 'South America'),
+    ('Australia', 'Asia Pacific'),
+    ('Japan', 'Asia Pacific'),
+    ('Hong Kong', 'Asia Pacific'),
+    ('Singapore', 'Asia Pacific'),
+    ('Korea', 'Asia Pacific'),
+    ('Thailand', 'Asia Pacific'),
+    ('Israel', 'Middle East'),
+    ('Lebanon', 'Middle East'),
+    ('Bahrain', 'Middle East'),
+    ('Saudi Arabia', 'Middle East'),
+    ('United Arab Emirates', 'Middle East'),
+    ('RSA', 'Africa'),
+    ('Nigeria', 'Africa'),
+    ('West Indies', 'Other'),
+    ('Unspecified', 'Other')
+) built_in(country, region))"""
 
 
 _MATRIX = ", ".join(
@@ -545,6 +600,20 @@ ORACLE: dict[str, str] = {
     count(*) FILTER (customer_id IS NOT NULL
         AND ifnull(TRY_CAST(customer_id AS DOUBLE) % 1, 1) <> 0) AS customer_id
 FROM sheets"""
+    ),
+    "raw_typed_damaged": _query("SELECT * FROM damaged"),
+    "raw_rejected_damaged": _query("SELECT * FROM rejections"),
+    "load_report": _query(
+        """SELECT part, lines, all_lines - landed AS dropped, quantity AS rejected_quantity,
+    price AS rejected_price, invoice_date AS rejected_invoice_date,
+    customer_id AS rejected_customer_id
+FROM (SELECT _source_sheet AS part, count(*) AS lines
+    FROM (SELECT _source_sheet FROM typed UNION ALL SELECT _source_sheet FROM damaged) GROUP BY 1),
+    (SELECT count(*) AS all_lines FROM (SELECT 1 FROM typed UNION ALL SELECT 1 FROM damaged)),
+    (SELECT count(*) AS landed FROM (
+        SELECT DISTINCT invoice, stock_code, quantity, price, invoice_date, customer_id
+        FROM (SELECT * FROM typed UNION ALL BY NAME SELECT * FROM damaged))),
+    rejections"""
     ),
     "seed_country_region": _query("SELECT * FROM regions"),
     "stg_online_retail": _query("SELECT * FROM staged"),
@@ -571,7 +640,7 @@ WHERE invoice_date > (SELECT max(invoice_date) FROM first_delivery) - 365"""
     "mart_rfm_segments": _query("SELECT * FROM scores"),
     "mart_country_performance": _query("SELECT * FROM by_country"),
     "mart_country_performance_builtin_seed": _query(
-        f"SELECT * FROM ({_by_country(_builtin_seed())})"
+        f"SELECT * FROM ({_by_country(_BUILTIN_SEED)})"
     ),
     "mart_product_performance": _query("SELECT * FROM leaders"),
     "mart_data_quality": _query("SELECT * FROM health"),

@@ -98,6 +98,25 @@ def raw_rejected(spark: SparkSession, folder: str) -> DataFrame:
     return ingest.rejected_values(star.shop_scan(spark, folder))
 
 
+def raw_typed_damaged(spark: SparkSession, folder: str) -> DataFrame:
+    return ingest.coerce_types(star.damaged_lines(spark, folder))
+
+
+def raw_rejected_damaged(spark: SparkSession, folder: str) -> DataFrame:
+    return ingest.rejected_values(star.damaged_lines(spark, folder))
+
+
+def load_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The report of a full load of the three parts and the damaged lines, one row for each part."""
+    parts = {**star.shop_parts(spark, folder), "Damaged": star.damaged_lines(spark, folder).drop("_source_sheet")}
+    # text throughout, as in files
+    text = {tag: part.select(*[part[c].cast("string") for c in part.columns]) for tag, part in parts.items()}
+    done = ingest.land(ingest.union_parts(text), list(parts), scratch_path(spark, "raw"), star.LOADED_AT)
+    rows = [(part, lines, done.dropped, *done.rejected.values()) for part, lines in done.lines.items()]
+    rejected = ", ".join(f"rejected_{name} bigint" for name in done.rejected)
+    return spark.createDataFrame(rows, f"part string, lines bigint, dropped bigint, {rejected}")
+
+
 def seed_country_region(spark: SparkSession, folder: str) -> DataFrame:
     csv = write_csv(star.shop_regions(spark, folder), scratch_path(spark, "seed"))
     return seeds.read_country_region(spark, csv)
@@ -172,6 +191,9 @@ QUERIES: dict[str, Query] = {
     "raw_online_retail": raw_online_retail,
     "raw_sample": raw_sample,
     "raw_rejected": raw_rejected,
+    "raw_typed_damaged": raw_typed_damaged,
+    "raw_rejected_damaged": raw_rejected_damaged,
+    "load_report": load_report,
     "seed_country_region": seed_country_region,
     **{name: _model(name) for name in MODELS},
     "fct_invoice_lines_incremental": lines_incremental,

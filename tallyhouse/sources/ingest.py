@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -33,7 +34,7 @@ HEADER_NAMES = {
 
 SAMPLE_TAG = "sample"
 
-# the columns that make two lines exact copies of each other
+# fixed values: the columns that make two lines exact copies of each other
 COPY_KEY = ["invoice", "stock_code", "quantity", "price", "invoice_date", "customer_id"]
 
 
@@ -43,11 +44,12 @@ def normalize_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[HEADER_NAMES.get(header, header) for header in headers])
 
 
-def read_part(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_part(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """One part under its own header: a Parquet file or folder by its name, else CSV as text.
 
-    Values with line breaks need ``multi_line``; it keeps a CSV file in one split, so it
-    is not the default.
+    Quoted values may hold line breaks. That keeps a CSV file in one split; a part is
+    read in parallel by its files. ``multi_line=False`` splits the files of a part that
+    is known to have no such value.
     """
     if path.endswith(".parquet"):
         return spark.read.parquet(path)
@@ -66,9 +68,9 @@ def union_parts(parts: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def read_raw(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
+def read_raw(spark: SparkSession, paths: Mapping[str, str], multi_line: bool = True) -> DataFrame:
     """L1 over files: ``paths`` maps a part name to its file or folder."""
-    return union_parts({tag: read_part(spark, path) for tag, path in paths.items()})
+    return union_parts({tag: read_part(spark, path, multi_line) for tag, path in paths.items()})
 
 
 NUMBERS = ["quantity", "price", "customer_id"]
@@ -96,16 +98,24 @@ def _timestamp(df: DataFrame, name: str) -> Column:
     column = F.col(name)
     if not isinstance(df.schema[name].dataType, T.StringType):
         return column.cast("timestamp_ntz")
-    month_first = [
-        F.try_to_timestamp(column, F.lit(pattern)).cast("timestamp_ntz")
-        for pattern in ("M/d/yyyy H:mm", "M/d/yyyy H:mm:ss")
-    ]
-    return F.coalesce(column.try_cast("timestamp_ntz"), *month_first)
+    # a wall-clock time: no zone is passed through, so none of its gaps moves it
+    month_first = r"^\s*(\d{1,2})/(\d{1,2})/(\d{4}) (\d{1,2}):(\d{2})(:\d{2})?\s*$"
+    month, day, year, hour, minute, second = (
+        F.regexp_extract(column, month_first, group) for group in range(1, 7)
+    )
+    iso = F.concat(
+        year, F.lit("-"), F.lpad(month, 2, "0"), F.lit("-"), F.lpad(day, 2, "0"), F.lit(" "),
+        F.lpad(hour, 2, "0"), F.lit(":"), minute, second,
+    )
+    parsed = F.when(column.rlike(month_first), iso).otherwise(column)
+    return parsed.try_cast("timestamp_ntz")
 
 
 def coerce_types(df: DataFrame) -> DataFrame:
     """L3: strip text, turn numbers and timestamps into their types, bad values into NULL.
 
+    A price that is no finite number is a bad value.
+
     A customer id such as ``17850.0`` becomes ``17850``; a fractional one has no
     meaning as an id and becomes NULL.
     """
@@ -116,7 +126,10 @@ def coerce_types(df: DataFrame) -> DataFrame:
         {
             **{name: strip_whitespace(F.col(name).cast("string")) for name in stripped},
             "quantity": _whole_number(parsed, "quantity"),
-            "price": F.nullif(F.col("price").cast("double"), F.lit(float("nan"))),
+            # comparisons put NaN above infinity
+            "price": F.when(
+                F.abs(F.col("price").cast("double")) < float("inf"), F.col("price").cast("double")
+            ),
             "invoice_date": _timestamp(df, "invoice_date"),
             "customer_id": _whole_number(parsed, "customer_id").cast("string"),
         }
@@ -151,24 +164,75 @@ def stamp_lineage(df: DataFrame, loaded_at: dt.datetime) -> DataFrame:
     return df.withColumn("_loaded_at", stamp).select(*RAW_COLUMNS)
 
 
+LANDED_MONTH = "_landed_month"
+
+
 def write_raw(df: DataFrame, path: str, loaded_at: dt.datetime) -> int:
-    """Replace the landing table; returns its row count, taken in the same job."""
+    """Replace the landing table; returns its row count, taken in the same job.
+
+    The lines of a month lie together, in the order of their time, so that readers of new
+    days skip the row groups of all others, and those of an invoice stand side by side.
+    Lines without a date have a folder of their own; a large month is split.
+    """
     loaded = Observation()
     rows = stamp_lineage(df, loaded_at).observe(loaded, F.count(F.lit(1)).alias("rows"))
+    month = F.date_trunc("month", F.col("invoice_date").cast("timestamp_ntz")).cast("date")
+    rows = rows.withColumn(LANDED_MONTH, month).hint("rebalance", LANDED_MONTH)
     # an overwrite of the landing table replaces all of it, whatever the session says
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    (
+        rows.sortWithinPartitions(LANDED_MONTH, "invoice_date", "invoice")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(LANDED_MONTH)
+        .parquet(path)
+    )
     return loaded.get["rows"]
 
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RAW_SCHEMA).parquet(path)
+    table = spark.read.schema(f"{RAW_SCHEMA}, {LANDED_MONTH} date").parquet(path)
+    return table.select(*RAW_COLUMNS)
+
+
+@dataclass(frozen=True)
+class LoadReport:
+    """What a load found and did: lines per part, copies dropped, values turned into NULL."""
+
+    lines: dict[str, int]
+    rejected: dict[str, int]
+    landed: int
+
+    @property
+    def dropped(self) -> int:
+        return sum(self.lines.values()) - self.landed
+
+
+def land(raw: DataFrame, tags: list[str], path: str, loaded_at: dt.datetime) -> LoadReport:
+    """L3 to L5 over tagged lines, in one job; the counts are observed on the way."""
+    seen = Observation()
+    flagged = _with_rejections(raw)
+    counted = flagged.observe(
+        seen,
+        *[F.count_if(F.col("_source_sheet") == tag).alias(f"part {i}") for i, tag in enumerate(tags)],
+        *[F.count_if(F.col(f"rejected_{name}")).alias(name) for name in CHECKED],
+    )
+    typed = counted.drop(*[f"rejected_{name}" for name in CHECKED])
+    landed = write_raw(dedupe(typed), path, loaded_at)
+    got = seen.get
+    return LoadReport(
+        {tag: got[f"part {i}"] for i, tag in enumerate(tags)}, {name: got[name] for name in CHECKED}, landed
+    )
 
 
 def load(
-    spark: SparkSession, paths: Mapping[str, str], path: str, loaded_at: dt.datetime
-) -> int:
-    """L1 to L5 in one job; returns the row count."""
-    return write_raw(dedupe(coerce_types(read_raw(spark, paths))), path, loaded_at)
+    spark: SparkSession,
+    paths: Mapping[str, str],
+    path: str,
+    loaded_at: dt.datetime,
+    multi_line: bool = True,
+) -> LoadReport:
+    """L1 to L5 in one job."""
+    return land(read_raw(spark, paths, multi_line), list(paths), path, loaded_at)
 
 
 def load_sample(spark: SparkSession, csv_path: str, path: str, loaded_at: dt.datetime) -> int:
@@ -176,19 +240,18 @@ def load_sample(spark: SparkSession, csv_path: str, path: str, loaded_at: dt.dat
     return write_raw(coerce_types(read_part(spark, csv_path)), path, loaded_at)
 
 
+CHECKED = ["quantity", "price", "invoice_date", "customer_id"]
+
+
+def _with_rejections(before: DataFrame) -> DataFrame:
+    """L3, with a flag for each checked column whose value it turned into NULL."""
+    given = {f"rejected_{name}": F.col(name).isNotNull() for name in CHECKED}
+    after = coerce_types(before.withColumns(given))
+    lost = {f"rejected_{name}": F.col(f"rejected_{name}") & F.col(name).isNull() for name in CHECKED}
+    return after.withColumns(lost)
+
+
 def rejected_values(before: DataFrame) -> DataFrame:
     """Report for a load: values per column that L3 turns into NULL, in one pass."""
-    after = coerce_types(
-        before.withColumns(
-            {
-                f"given_{name}": F.col(name).isNotNull()
-                for name in ("quantity", "price", "invoice_date", "customer_id")
-            }
-        )
-    )
-    return after.agg(
-        *[
-            F.count_if(F.col(f"given_{name}") & F.col(name).isNull()).alias(name)
-            for name in ("quantity", "price", "invoice_date", "customer_id")
-        ]
-    )
+    after = _with_rejections(before)
+    return after.agg(*[F.count_if(F.col(f"rejected_{name}")).alias(name) for name in CHECKED])

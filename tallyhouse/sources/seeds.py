@@ -2,38 +2,21 @@
 
 from __future__ import annotations
 
+import csv
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.schemas import COUNTRY_REGION_SCHEMA
 
-# fixed values: region of each country
-REGION_COUNTRIES = {
-    "UK & Ireland": ["United Kingdom", "EIRE", "Channel Islands"],
-    "Western Europe": [
-        "France",
-        "Germany",
-        "Netherlands",
-        "Belgium",
-        "Switzerland",
-        "Austria",
-        "Luxembourg",
-    ],
-    "Northern Europe": ["Denmark", "Finland", "Norway", "Sweden", "Iceland", "Lithuania"],
-    "Eastern Europe": ["Poland", "Czech Republic"],
-    "Southern Europe": ["Greece", "Italy", "Spain", "Portugal", "Malta", "Cyprus"],
-    "Other Europe": ["European Community"],
-    "North America": ["USA", "Canada"],
-    "South America": ["Brazil"],
-    "Asia Pacific": ["Australia", "Japan", "Hong Kong", "Singapore", "Korea", "Thailand"],
-    "Middle East": ["Israel", "Lebanon", "Bahrain", "Saudi Arabia", "United Arab Emirates"],
-    "Africa": ["RSA", "Nigeria"],
-    "Other": ["West Indies", "Unspecified"],
-}
+#: the built-in seed: fixed values, the region of each country
+BUILT_IN = Path(__file__).with_name("country_region.csv")
 
 
 def country_region(spark: SparkSession) -> DataFrame:
-    """The built-in seed."""
-    rows = [(name, region) for region, names in REGION_COUNTRIES.items() for name in names]
+    """The built-in seed, read where the package is installed: by the driver."""
+    with BUILT_IN.open(encoding="utf-8", newline="") as file:
+        rows = [(row["country"], row["region"]) for row in csv.DictReader(file)]
     return spark.createDataFrame(rows, COUNTRY_REGION_SCHEMA)
 
 

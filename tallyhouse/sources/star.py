@@ -1,7 +1,7 @@
 """Raw invoice lines out of the given order star (lineitem, orders, customer, ...).
 
 Stands in for the spreadsheet parts of a shop: padded codes, ids with a decimal
-point, cancellations, returns, free lines, guests, and one part that repeats lines
+point, names with line breaks and quotes, cancellations, returns, free lines, guests, and one part that repeats lines
 of the other two.
 """
 
@@ -83,7 +83,10 @@ def shop_lines(spark: SparkSession, folder: str, orders: DataFrame | None = None
             "invoice"
         ),
         F.concat(F.lit(" sku"), F.col("l_partkey").cast("string"), F.lit(" ")).alias("stock_code"),
-        F.when(F.col("l_partkey") % 50 == 0, " ").otherwise(F.col("p_name")).alias("description"),
+        F.when(F.col("l_partkey") % 50 == 0, " ")
+        .when(F.col("l_partkey") % 50 == 1, F.concat("p_name", F.lit('\n"boxed", new')))
+        .otherwise(F.col("p_name"))
+        .alias("description"),
         F.when(returned, -units).otherwise(units).alias("quantity"),
         (F.col("o_orderdate") + minutes).alias("invoice_date"),
         F.when(F.col("l_discount") == 0.10, 0.0).otherwise(unit_price).alias("price"),
@@ -127,3 +130,32 @@ def shop_regions(spark: SparkSession, folder: str) -> DataFrame:
     return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
         F.col("n_name").alias("country"), F.col("r_name").alias("region")
     )
+
+
+def damaged_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items as text with values that no load can keep, one kind for each part number."""
+    items = star_table(spark, folder, "lineitem")
+    kind = F.col("l_partkey") % 8
+    units = F.col("l_quantity").cast("int").cast("string")
+    amount = F.col("l_extendedprice").cast("decimal(18,2)").cast("string")
+    supplier = F.col("l_suppkey").cast("string")
+    day = F.date_format("l_shipdate", "yyyy-MM-dd")
+    return items.select(
+        F.col("l_orderkey").cast("string").alias("invoice"),
+        F.col("l_linenumber").cast("string").alias("stock_code"),
+        F.lit(None).cast("string").alias("description"),
+        F.when(kind == 0, "many").when(kind == 1, F.concat(units, F.lit(".5"))).otherwise(
+            F.concat(units, F.lit(".0"))
+        ).alias("quantity"),
+        F.when(kind == 2, "inf").when(kind == 3, "-Infinity").when(kind == 4, "12,50").when(
+            kind == 5, "NaN"
+        ).otherwise(amount).alias("price"),
+        F.when(kind == 5, "2011-02-30 10:00:00").when(kind == 6, "3/13/2011 2:30").when(
+            kind == 7, "13/3/2011 2:30"
+        ).otherwise(day).alias("invoice_date"),
+        F.when(kind == 1, F.concat(supplier, F.lit(".5"))).when(kind == 2, "guest").otherwise(
+            F.concat(supplier, F.lit(".0"))
+        ).alias("customer_id"),
+        F.lit("Nowhere").alias("country"),
+        F.lit("Damaged").alias("_source_sheet"),
+    )

@@ -76,4 +76,6 @@ def write_csv(df: DataFrame, path: str) -> str:
 def read_export(like: DataFrame, path: str) -> DataFrame:
     """An exported mart read back under the schema of the mart it came from."""
     reader = like.sparkSession.read.schema(like.schema).option("header", True)
+    # a value may hold line breaks
+    reader = reader.option("multiLine", True)
     return reader.option("escape", '"').csv(path)

@@ -136,7 +136,7 @@ def test_full_load_from_files(spark, tmp_path):
         "old": write_csv(old, f"{tmp_path}/old"),
         "new": write_csv(new, f"{tmp_path}/new"),
     }
-    assert ingest.load(spark, paths, f"{tmp_path}/raw", LOADED_AT) == 2
+    assert ingest.load(spark, paths, f"{tmp_path}/raw", LOADED_AT).landed == 2
     rows = ingest.read_landed(spark, f"{tmp_path}/raw").orderBy("invoice").collect()
     assert rows[0].asDict() == {
         "invoice": "1",
@@ -153,7 +153,7 @@ def test_full_load_from_files(spark, tmp_path):
     assert rows[1].description == 'a "quoted", text'
     assert rows[1].customer_id is None and rows[1]._source_sheet == "new"
     # a second load replaces the first
-    assert ingest.load(spark, {"old": paths["old"]}, f"{tmp_path}/raw", LOADED_AT) == 1
+    assert ingest.load(spark, {"old": paths["old"]}, f"{tmp_path}/raw", LOADED_AT).landed == 1
     assert ingest.read_landed(spark, f"{tmp_path}/raw").count() == 1
 
 
