@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.operators import marts, quality, serving
+from tallyhouse.operators.lines import revenue_lines, stage_lines
 from tallyhouse.plans.warehouse import MODELS, Warehouse
 from tallyhouse.session import scratch_path
 from tallyhouse.sources import ingest, seeds, star
 from tallyhouse.sources.tables import export_marts, read_export, write_csv
-from tallyhouse.sources.upsert import upsert_invoice_lines
+from tallyhouse.sources.upsert import latest_day, upsert_invoice_lines
 from tallyhouse.streaming.lines import load_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -135,11 +136,16 @@ def _deliveries(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]
 
 
 def lines_incremental(spark: SparkSession, folder: str) -> DataFrame:
-    """Two deliveries; the returns that come late are not picked up."""
-    first, everything = _deliveries(spark, folder)
+    """Two deliveries; the returns that come late are not picked up.
+
+    The second reads the landing from the month of the latest loaded day on.
+    """
+    first, _ = _deliveries(spark, folder)
     target = scratch_path(spark, "lines")
     upsert_invoice_lines(first, target)
-    return upsert_invoice_lines(everything, target)
+    landed = warehouse(spark, folder).path("raw_online_retail")
+    raw = ingest.read_landed(spark, landed, since=latest_day(spark, target))
+    return upsert_invoice_lines(revenue_lines(stage_lines(raw)), target)
 
 
 def lines_lookback(spark: SparkSession, folder: str) -> DataFrame:

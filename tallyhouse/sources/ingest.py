@@ -171,7 +171,7 @@ def write_raw(df: DataFrame, path: str, loaded_at: dt.datetime) -> int:
     """Replace the landing table; returns its row count, taken in the same job.
 
     The lines of a month lie together, in the order of their time, so that readers of new
-    days skip the row groups of all others, and those of an invoice stand side by side.
+    days open the folders of their months only, and those of an invoice stand side by side.
     Lines without a date have a folder of their own; a large month is split.
     """
     loaded = Observation()
@@ -189,8 +189,16 @@ def write_raw(df: DataFrame, path: str, loaded_at: dt.datetime) -> int:
     return loaded.get["rows"]
 
 
-def read_landed(spark: SparkSession, path: str) -> DataFrame:
+def read_landed(spark: SparkSession, path: str, since: dt.date | None = None) -> DataFrame:
+    """The landed lines; with ``since`` those of its month and later ones only.
+
+    The months before it are folders that are not opened. (Times without a zone are not
+    compared with the statistics of row groups, so the folders do what a filter on the
+    time cannot.)
+    """
     table = spark.read.schema(f"{RAW_SCHEMA}, {LANDED_MONTH} date").parquet(path)
+    if since is not None:
+        table = table.filter(F.col(LANDED_MONTH) >= F.lit(since.replace(day=1)))
     return table.select(*RAW_COLUMNS)
 
 

@@ -120,21 +120,22 @@ LINE = (
 
 
 def test_order_roll_up(spark):
-    at, later = T("2011-01-15 10:00:00"), T("2011-02-20 09:00:00")
-    df = spark.createDataFrame(
-        [
-            ("A", "1", "United Kingdom", at, 2, 10.0, False, False),
-            ("A", "1", "United Kingdom", at, 1, 3.0, False, False),
-            ("B", "2", "France", later, 4, 10.0, False, False),
-        ],
-        LINE,
-    )
-    got = [tuple(r) for r in orders.roll_up_orders(df).orderBy("invoice_id").collect()]
-    assert got == [
-        ("A", "1", "United Kingdom", at, D("2011-01-15"), D("2011-01-01"), 2, 3, 13.0, False,
-         False),
-        ("B", "2", "France", later, D("2011-02-20"), D("2011-02-01"), 1, 4, 10.0, False, False),
+    early, late = T("2019-07-31 23:50:00"), T("2019-08-01 00:10:00")
+    rows = [
+        ("n1", "41", "Chile", late, -3, -2.25, False, False),
+        ("n1", "41", "Chile", early, 8, 6.0, False, False),
+        ("n1", "41", "Chile", late, 1, 0.35, False, False),
+        ("Cn2", None, "Peru", late, -5, -7.5, True, True),
     ]
+    got = {r.invoice_id: r for r in orders.roll_up_orders(spark.createDataFrame(rows, LINE)).collect()}
+    assert len(got) == 2
+    first, second = got["n1"], got["Cn2"]
+    # the order has the time of its first line, and the month of that
+    assert (first.ordered_at, first.order_date, first.order_month) == (early, D("2019-07-31"), D("2019-07-01"))
+    assert (first.n_lines, first.total_quantity, first.order_revenue) == (3, 6, 4.1)
+    assert (first.customer_id, first.country, first.is_cancellation, first.is_guest) == ("41", "Chile", False, False)
+    assert (second.customer_id, second.n_lines, second.order_revenue) == (None, 1, -7.5)
+    assert second.is_cancellation and second.is_guest
 
 
 def test_order_takes_a_value_that_is_there(spark):
@@ -231,20 +232,21 @@ def first_orders(spark, **days):
 def test_daily_mart(spark):
     df = spark.createDataFrame(
         [
-            order("inv1", "C1", "2011-03-01", 100.0, 2),
-            order("inv3", "C1", "2011-03-03", 30.0, 3),
-            order("inv4", "C9", "2011-03-03", 20.0, 1, cancelled=True),
+            order("n1", "P", "2019-07-30", 12.5, 5),
+            order("n2", "Q", "2019-07-30", 7.5, 1),
+            order("n3", "P", "2019-08-02", 4.0, 2),
+            order("n4", "Q", "2019-08-02", 90.0, 9, cancelled=True),
         ],
         ORDER,
     )
-    known = first_orders(spark, C1="2011-03-01", C9="2011-03-03")
-    days = dimensions.dates(spark, D("2011-02-01"), D("2011-05-01"))
-    got = marts.revenue_daily(df, known, days).orderBy("order_date").collect()
-    assert [tuple(r) for r in got] == [
-        (D("2011-03-01"), 1, 1, 1, 0, 2, 100.0, 100.0),
-        (D("2011-03-02"), 0, 0, 0, 0, 0, 0.0, None),
-        (D("2011-03-03"), 1, 1, 0, 1, 3, 30.0, 30.0),
-    ]
+    known = first_orders(spark, P="2019-07-30", Q="2019-07-29")
+    days = dimensions.dates(spark, D("2019-07-28"), D("2019-09-01"))
+    got = {r.order_date: tuple(r)[1:] for r in marts.revenue_daily(df, known, days).collect()}
+    # only days between the first and the last order are there, empty ones included
+    assert list(sorted(got)) == [D("2019-07-30"), D("2019-07-31"), D("2019-08-01"), D("2019-08-02")]
+    assert got[D("2019-07-30")] == (2, 2, 1, 1, 6, 20.0, 10.0)
+    assert got[D("2019-07-31")] == got[D("2019-08-01")] == (0, 0, 0, 0, 0, 0.0, None)
+    assert got[D("2019-08-02")] == (1, 1, 0, 1, 2, 4.0, 4.0)
 
 
 def test_daily_mart_counts_guests_in_revenue_only(spark):
