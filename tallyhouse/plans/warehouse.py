@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.operators import dimensions, lines, marts, orders, quality
 from tallyhouse.schemas import COUNTRY_REGION_SCHEMA
+from tallyhouse.session import check_session
 from tallyhouse.sources.ingest import coerce_types, dedupe, read_landed, write_raw
 from tallyhouse.sources.tables import ExportReport, export_marts, store
 from tallyhouse.sources.upsert import upsert_invoice_lines
@@ -78,6 +79,7 @@ class Warehouse:
         loaded_at: dt.datetime,
         calendar: tuple[dt.date, dt.date] | None = None,
     ):
+        check_session(spark)
         self.spark = spark
         self.folder = folder
         self.loaded_at = loaded_at

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import SparkSession
 
@@ -16,9 +19,25 @@ SETTINGS = {
     "spark.sql.codegen.cache.maxEntries": "2000",
 }
 
+#: what results depend on, and what only the running time does
+NEEDED = ["spark.sql.ansi.enabled"]
+ADVISED = ["spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled"]
+
 _local_folders: dict[str, str] = {}
 
 
+def check_session(spark: SparkSession) -> None:
+    """Refuse a session whose sums could overflow unseen; warn of one that meets skew unprepared."""
+
+    def off(names: list[str]) -> list[str]:
+        return [name for name in names if spark.conf.get(name).lower() != "true"]
+
+    if off(NEEDED):
+        raise RuntimeError(f"set to true: {', '.join(off(NEEDED))}")
+    if off(ADVISED):
+        warnings.warn(f"large groups are not split: set {', '.join(off(ADVISED))} to true", stacklevel=3)
+
+
 def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
     """Session for tests and the benchmark. A cluster brings its own."""
     builder = (
@@ -38,17 +57,21 @@ def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can read: the cluster's ``spark.checkpoint.dir``.
 
-    Only a local session that names none gets a temporary folder; on a cluster a
+    Only a local session that names none gets a temporary folder, which goes when the
+    program ends; on a cluster a
     machine-local folder would lose tables with its machine, so that is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    # local-cluster has executors of its own
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     if context.applicationId not in _local_folders:
-        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="tallyhouse-")
+        folder = tempfile.mkdtemp(prefix="tallyhouse-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        _local_folders[context.applicationId] = folder
     return _local_folders[context.applicationId]
 
 
