@@ -358,6 +358,26 @@ STEPS["first_delivery"] = """
     SELECT * FROM line_facts WHERE invoice_date <= DATE '1999-12-31' AND NOT is_return"""
 
 
+STEPS["damaged_orders"] = """
+    SELECT * EXCLUDE (n) REPLACE (
+        if(n % 13 = 0, NULL, invoice_id) AS invoice_id,
+        if(n % 11 = 0 AND customer_id IS NOT NULL, 'nobody', customer_id) AS customer_id)
+    FROM (SELECT *, regexp_extract(invoice_id, '[0-9]+')::BIGINT AS n FROM invoices),
+        LATERAL (SELECT unnest(range(if(n % 7 = 0, 2, 1)))) copies(c)"""
+
+STEPS["damaged_buyers"] = """
+    SELECT * REPLACE (
+        if(customer_id::BIGINT % 5 = 1, -1, recency_days) AS recency_days,
+        if(customer_id::BIGINT % 6 = 1, NULL, cohort_month) AS cohort_month)
+    FROM buyers"""
+
+STEPS["damaged_scores"] = """
+    SELECT * REPLACE (
+        if(customer_id::BIGINT % 4 = 1, 9, r_score) AS r_score,
+        if(customer_id::BIGINT % 3 = 1, 'Lost', rfm_segment) AS rfm_segment)
+    FROM scores"""
+
+
 def _query(final: str) -> str:
     steps = ",\n".join(f"{name} AS ({sql}\n)" for name, sql in STEPS.items())
     return f"WITH {steps}\n{final}"
@@ -730,5 +750,21 @@ GROUP BY revenue_decile"""
 FROM landed"""
     ),
     **{key: _report(failures) for key, failures in CHECK_SQL.items()},
+    "dq_damaged": _report(
+        {
+            **_key("fct_orders", "damaged_orders", "invoice_id"),
+            "fct_orders.customer_id.relationships": _orphans(
+                "damaged_orders", "customer_id", "buyers", "NOT is_cancellation"
+            ),
+            **_key("dim_customers", "damaged_buyers", "customer_id"),
+            **_filled("dim_customers", "damaged_buyers", "cohort_month"),
+            "dim_customers.recency_days.accepted_range": _where("damaged_buyers", "recency_days < 0"),
+            **_key("mart_rfm_segments", "damaged_scores", "customer_id"),
+            "mart_rfm_segments.r_score.accepted_range": _where("damaged_scores", "r_score NOT BETWEEN 1 AND 5"),
+            "mart_rfm_segments.rfm_segment.accepted_values": _where(
+                "damaged_scores", f"rfm_segment NOT IN ({_SEGMENTS})"
+            ),
+        }
+    ),
     "dq_all": _report({c: sql for checks in CHECK_SQL.values() for c, sql in checks.items()}),
 }

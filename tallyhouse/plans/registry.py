@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.operators import marts, quality, serving
@@ -63,6 +64,42 @@ def all_checks(spark: SparkSession, folder: str) -> DataFrame:
     return quality.all_checks(warehouse(spark, folder).read)
 
 
+DAMAGED_TABLES = ("fct_orders", "dim_customers", "mart_rfm_segments")
+
+
+def _damaged(read: Callable[[str], DataFrame]) -> Callable[[str], DataFrame]:
+    """A reader of tables with repeated and lost keys, orphans, and values out of range."""
+
+    def some(column: str, divisor: int, rest: int = 0) -> Column:
+        return F.regexp_extract(column, r"\d+", 0).cast("bigint") % divisor == rest
+
+    def put(column: str, value: object, where: Column) -> Column:
+        return F.when(where, F.lit(value)).otherwise(F.col(column))
+
+    def damaged(name: str) -> DataFrame:
+        table = read(name)
+        if name == "fct_orders":
+            orphan = F.col("customer_id").isNotNull() & some("invoice_id", 11)
+            table = table.unionByName(table.filter(some("invoice_id", 7)))
+            table = table.withColumn("customer_id", put("customer_id", "nobody", orphan))
+            return table.withColumn("invoice_id", put("invoice_id", None, some("invoice_id", 13)))
+        if name == "dim_customers":
+            table = table.withColumn("recency_days", put("recency_days", -1, some("customer_id", 5, 1)))
+            return table.withColumn("cohort_month", put("cohort_month", None, some("customer_id", 6, 1)))
+        if name == "mart_rfm_segments":
+            table = table.withColumn("r_score", put("r_score", 9, some("customer_id", 4, 1)))
+            return table.withColumn("rfm_segment", put("rfm_segment", "Lost", some("customer_id", 3, 1)))
+        return table
+
+    return damaged
+
+
+def damaged_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """Every kind of check over tables that fail it."""
+    read = _damaged(warehouse(spark, folder).read)
+    return reduce(DataFrame.unionByName, [quality.check_table(name, read) for name in DAMAGED_TABLES])
+
+
 def raw_union(spark: SparkSession, folder: str) -> DataFrame:
     return ingest.union_parts(star.shop_parts(spark, folder))
 
@@ -246,4 +283,5 @@ QUERIES: dict[str, Query] = {
         quality.order_revenue_reconciles, "fct_invoice_lines", "fct_orders"
     ),
     "dq_all": all_checks,
+    "dq_damaged": damaged_checks,
 }

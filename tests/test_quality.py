@@ -89,3 +89,11 @@ def test_sixty_checks_pass_on_the_given_tables(spark, small):
     results = quality.all_checks(warehouse(spark, small).read).collect()
     assert len({r.check_id for r in results}) == 60 == len(results)
     assert {r.check_id for r in results if r.failures} == set()
+
+
+def test_damaged_tables_fail_every_kind_of_check(spark, small):
+    from tallyhouse.plans.registry import QUERIES
+
+    found = {r.check_id: r.failures for r in QUERIES["dq_damaged"](spark, small).collect()}
+    kinds = {check.rsplit(".", 1)[1] for check, failures in found.items() if failures > 0}
+    assert kinds == {"unique", "not_null", "relationships", "accepted_range", "accepted_values"}
