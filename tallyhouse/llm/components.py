@@ -24,7 +24,10 @@ def components(edges: DataFrame) -> DataFrame:
     is stored in the shared folder; lost executors recompute at most one round.
     """
     spark = edges.sparkSession
-    state, before = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u != v"), None
+    # stored once: what finds the edges would run again for each use of them
+    path = scratch_path(spark, "edges")
+    edges.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u != v").write.parquet(path)
+    state, before = spark.read.parquet(path), None
     while True:
         both = state.unionByName(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _with_smallest(both, False).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))

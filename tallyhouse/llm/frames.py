@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -31,10 +32,24 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system: workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
     """``mapInArrow`` with functions of this package."""
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return df.mapInArrow(task, schema)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,11 +67,12 @@ def enrich(
     fields: str,
     rows: Callable[[pa.RecordBatch], dict[str, object]],
     column: str | None = "text",
+    step: int = 1000,
 ) -> DataFrame:
     """Add columns that ``rows`` computes from each slice of an Arrow batch.
 
     One narrow pass: no shuffle, and memory follows a slice of a few megabytes of ``column``
-    (whole batches where it is None). A column of the input whose name is among ``fields`` is replaced.
+    (of ``step`` rows where it is None). A column of the input whose name is among ``fields`` is replaced.
     """
     added = T._parse_datatype_string(fields)
     names = without(docs, added.names).columns
@@ -64,7 +80,7 @@ def enrich(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, column) if column else [batch]:
+            for part in slices(batch, column) if column else _rows(batch, step):
                 out = rows(part)
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(n) for n in names), *(as_array(out[n]) for n in added.names)],
@@ -74,5 +90,10 @@ def enrich(
     return map_arrow(docs, run, schema)
 
 
+def _rows(batch: pa.RecordBatch, step: int) -> Iterator[pa.RecordBatch]:
+    for start in range(0, batch.num_rows, step):
+        yield batch.slice(start, step)
+
+
 def as_array(values) -> pa.Array:
     return values if isinstance(values, pa.Array) else pa.array(values)

@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from .frames import enrich
@@ -35,6 +36,9 @@ _CONTROL[[9, 10]] = True  # tabs and line breaks: in no piece beside other chara
 UNKNOWN_PENALTY = 10
 #: characters between two looks for a boundary that all paths share
 COMMIT_EVERY = 64
+#: distinct stretches that a worker keeps, and rows that are decoded at once
+MOST_STRETCHES = 1_000_000
+DECODE_ROWS = 500
 
 
 @dataclass
@@ -162,7 +166,7 @@ def _cache(name: str, vocabulary: Vocabulary) -> WordCache:
             found = [search.encode(s.decode()) for s in stretches]
             return np.array([i for f in found for i in f], np.int32), np.array([len(f) for f in found], np.int64)
 
-        _caches[name] = WordCache(ids_of, len(vocabulary.spelled))
+        _caches[name] = WordCache(ids_of, len(vocabulary.spelled), MOST_STRETCHES)
     return _caches[name]
 
 
@@ -189,14 +193,12 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids", col
     def rows(part: pa.RecordBatch) -> dict:
         flat, sizes = shared.value
         starts = np.cumsum(sizes) - sizes
-        texts: list[str] = []
-        for at in range(0, part.num_rows, 500):
-            lists = part.column(ids_col).slice(at, 500)
-            ids = lists.flatten().to_numpy(zero_copy_only=False)
-            counts = np.array([len(x) if x.is_valid else 0 for x in lists], np.int64)
-            raw = flat[ragged(starts[ids], sizes[ids])].tobytes()
-            ends = np.r_[0, np.cumsum(sizes[ids])][np.r_[0, np.cumsum(counts)]].tolist()
-            texts += [raw[a + 1 : b].decode("utf-8", "replace") for a, b in zip(ends, ends[1:])]
+        lists = part.column(ids_col)
+        ids = lists.flatten().to_numpy(zero_copy_only=False)
+        counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        raw = flat[ragged(starts[ids], sizes[ids])].tobytes()
+        ends = np.r_[0, np.cumsum(sizes[ids])][np.r_[0, np.cumsum(counts)]].tolist()
+        texts = [raw[a + 1 : b].decode("utf-8", "replace") for a, b in zip(ends, ends[1:])]
         return {column: pa.array(texts, pa.string())}
 
-    return enrich(encoded, f"{column} string", rows, None)
+    return enrich(encoded, f"{column} string", rows, None, DECODE_ROWS)

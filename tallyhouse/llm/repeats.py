@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .frames import ship, without
+from .frames import give_back, ship, without
 from .text import SOLID, Words, cover, mix, per_text, slices, window_hashes
 
 WINDOW = 35
@@ -121,6 +121,7 @@ def _probes(buckets: int) -> Callable:
         several, one, is_block = repeated_here(keys, block)
         # marks: two bits, part of the reference and repeated
         marks = np.stack([is_block, several[one]], axis=1)
+        give_back()
         return messages(key[0].as_py(), buckets, at[one], keys[one], np.zeros((len(one), 0), np.uint8), marks)
 
     return run
@@ -229,6 +230,7 @@ def _remove(names: list[str]) -> Callable:
         flags[start[several]] = True
         found = np.flatnonzero(flags)
         gone = cover(found, found + WINDOW, len(part.hashes))
+        give_back()
         texts, done = [], 0
         for words in part.words:
             texts.append(kept_text(words, ~gone[done : done + len(words.starts)]).cast(pa.string()))

@@ -13,7 +13,9 @@ import numpy as np
 
 from .text import Words
 
-MOST_WORDS = 4_000_000
+MOST_WORDS = 2_000_000
+#: words that are encoded at once
+STEP = 50_000
 
 
 def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -48,8 +50,14 @@ class WordCache:
     New words go to a small level, which is merged into the large one from time to time.
     """
 
-    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], most_ids: int = 1 << 31):
+    def __init__(
+        self,
+        encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]],
+        most_ids: int = 1 << 31,
+        most_words: int = MOST_WORDS,
+    ):
         self.encode = encode
+        self.most_words = most_words
         self.kind = np.uint16 if most_ids <= 1 << 16 else np.int32
         self.clear()
 
@@ -60,8 +68,9 @@ class WordCache:
     def __len__(self) -> int:
         return len(self.large.keys) + len(self.small.keys)
 
-    def _add(self, keys: np.ndarray, words: list[bytes]) -> None:
-        ids, sizes = self.encode(words)
+    def _add(self, keys: np.ndarray, words: Words, places: list[int]) -> None:
+        found = [self.encode([words.word(i) for i in places[k : k + STEP]]) for k in range(0, len(places), STEP)]
+        ids, sizes = (np.concatenate(x) for x in zip(*found))
         while self.used + len(ids) > len(self.ids):
             self.ids = np.r_[self.ids, np.zeros_like(self.ids)]
         self.ids[self.used : self.used + len(ids)] = ids
@@ -74,11 +83,11 @@ class WordCache:
         """Ids of all words of a slice, and the number of ids of each word."""
         distinct, one, slot = np.unique(words.hashes(), return_index=True, return_inverse=True)
         new = np.flatnonzero(~(self.large.find(distinct)[1] | self.small.find(distinct)[1]))
-        if len(self) and len(self) + len(new) > MOST_WORDS:
+        if len(self) and len(self) + len(new) > self.most_words:
             self.clear()
             new = np.arange(len(distinct))
         if len(new):
-            self._add(distinct[new], [words.word(i) for i in one[new].tolist()])
+            self._add(distinct[new], words, one[new].tolist())
         starts, sizes = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
         for level in (self.large, self.small):
             at, known = level.find(distinct)
