@@ -38,7 +38,7 @@ from .text import SOLID, Words, cover, mix, per_text, slices, window_hashes
 
 WINDOW = 35
 BLOCK = 18
-PART_BYTES = 8 << 20
+PART_BYTES = 4 << 20
 RESULT = "n_words bigint, n_removed bigint, kept_text string"
 _MESSAGE = "target int, part int, places binary, keys binary, more binary, marks binary"
 _BACK = "part int, places binary"
