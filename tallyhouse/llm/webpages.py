@@ -1,11 +1,13 @@
 """Main text of web pages by consensus paths of their hosts.
 
 1. Each page is cut into blocks of text, and the containers of the blocks are scored: a
-   block counts for its container and half for the next one, less its link text.
+   block counts for its container and half for the next one, less its link text. Lists, quotes,
+   figures, tables of data and sections are parts of the container around them.
 2. Pages vote, in Spark, on the generalised path (tags and classes without digits) of the
    best container of their host.
 3. Pages are extracted again with the winning path of the host; a page without it uses its own
-   best container. An article around the container is taken whole. Menus, headers, footers,
+   best container. An article around the container is taken whole, else the container grows to
+   the next one while that adds headings, text or sections of its own. Menus, headers, footers,
    sidebars, notices, adverts, forms, scripts, styles and comments are left out by tag, role
    and class.
 
@@ -67,6 +69,11 @@ _TAG = re.compile(
 )
 _ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _CLASS_WORD = re.compile(r"[a-z]+")
+#: fixed values: elements that are parts of the text around them
+_PARTS = frozenset(
+    "ul ol dl dt dd blockquote table caption colgroup thead tbody tfoot tr td th figure figcaption details summary address".split()
+)
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
 @dataclass
@@ -84,6 +91,17 @@ class Block:
     links: int
     #: (number, path) of the containers around the block, outermost first
     around: list[tuple[int, str]] = field(default_factory=list)
+    #: the innermost element that is not inline
+    tag: str = ""
+    #: the containers around that the block is credited to
+    owners: list[tuple[int, str]] = field(default_factory=list)
+
+    @property
+    def weight(self) -> int:
+        return len(self.text) - self.links
+
+    def within(self, path: str) -> bool:
+        return any(p == path for _, p in self.around)
 
 
 def _described(tag: str, attributes: str) -> tuple[str, bool]:
@@ -101,7 +119,7 @@ def _described(tag: str, attributes: str) -> tuple[str, bool]:
                     words.update(_CLASS_WORD.findall(one))
             noise = noise or not words.isdisjoint(_NOISE_WORDS)
         if name == "class":
-            classes = "".join(sorted({"." + re.sub(r"\d+", "", one) for one in value.split()}))
+            classes = "".join(sorted({"." + re.sub(r"[\d/]+", "", one) for one in value.split()}))
     return tag + classes, noise
 
 
@@ -117,7 +135,8 @@ def blocks_of(html: str) -> list[Block]:
             text = " ".join("".join(pieces).split())
             if text and not any(e.noise for e in stack):
                 around = [(e.number, e.path) for e in stack if e.container]
-                blocks.append(Block(text, min(state["links"], len(text)), around))
+                tag = next((e.tag for e in reversed(stack) if e.tag not in _INLINE), "")
+                blocks.append(Block(text, min(state["links"], len(text)), around, tag))
             pieces.clear()
         state["links"] = 0
 
@@ -171,18 +190,62 @@ def blocks_of(html: str) -> list[Block]:
         stack.append(Element(tag, f"{path}/{step}" if container else path, noise, container, state["seen"]))
     text(html[at:])
     flush()
+    _credit(blocks)
     return blocks
 
 
+def _tag(path: str) -> str:
+    return path.rsplit("/", 1)[1].split(".")[0]
+
+
+def _layouts(blocks: list[Block]) -> set[int]:
+    """Tables that lay out the page: a cell with a heading or paragraphs has half of their text."""
+    size: dict[int, int] = {}
+    prose: dict[int, int] = {}
+    table_of: dict[int, int] = {}
+    for block in blocks:
+        table = None
+        for number, path in block.around:
+            tag = _tag(path)
+            if tag == "table":
+                table = number
+            elif tag not in ("td", "th") or table is None:
+                continue
+            else:
+                table_of[number] = table
+                prose[number] = prose.get(number, 0) + (2 if block.tag in _HEADINGS else block.tag == "p")
+            size[number] = size.get(number, 0) + block.weight
+    return {table for cell, table in table_of.items() if prose[cell] > 1 and 2 * size[cell] >= size[table]}
+
+
+def _credit(blocks: list[Block]) -> None:
+    """Set the owners: containers that are no part of the text of a container around them."""
+    layouts = _layouts(blocks)
+    for block in blocks:
+        table = None
+        for number, path in block.around:
+            tag = _tag(path)
+            boxed = any(_tag(p) != "body" for _, p in block.owners)
+            if tag == "table":
+                table = number
+            laid = table in layouts and tag in ("table", "caption", "colgroup", "thead", "tbody", "tfoot", "tr", "td", "th")
+            if tag in _PARTS and not laid:
+                if boxed:
+                    break
+            elif tag not in _PARTS or tag in ("td", "th"):
+                if tag != "section" or not boxed:
+                    block.owners.append((number, path))
+        block.owners = block.owners or block.around[:1]
+
+
 def scores(blocks: list[Block]) -> dict[str, float]:
     """The score of each container path of a page."""
     out: dict[str, float] = {}
     for block in blocks:
         weight = 1.0
-        for _, path in reversed(block.around[-2:]):
-            step = path.rsplit("/", 1)[1]
-            likely = 2.0 if step.split(".")[0] in ("article", "main") else 1.0
-            out[path] = out.get(path, 0.0) + weight * likely * (len(block.text) - block.links)
+        for _, path in reversed(block.owners[-2:]):
+            likely = 2.0 if _tag(path) in ("article", "main") else 1.0
+            out[path] = out.get(path, 0.0) + weight * likely * block.weight
             weight /= 2
     return {path: score for path, score in out.items() if score > 0}
 
@@ -197,15 +260,55 @@ def widened(path: str) -> str:
     return path
 
 
+def holding(blocks: list[Block], path: str, alone: bool) -> str:
+    """The path of the container that holds the whole article of the container of ``path``.
+
+    A container around takes over if it has a heading or text of its own, or if what it adds is
+    text beside several containers of the path. ``alone``, without votes of other pages, also if the
+    path has less than half of the page's text. The body takes over for a main heading or a tenth of the text.
+    """
+    whole = widened(path)
+    if any(step.split(".")[0] in ("article", "main") for step in whole.split("/")):
+        return whole
+    inner = [b for b in blocks if b.within(path)]
+    first = next((b for b in inner if any(p == path for _, p in b.owners)), None)
+    if first is None:
+        return path
+    outer = [p for _, p in first.owners]
+    total = sum(b.weight for b in blocks)
+    for parent in reversed(outer[: outer.index(path)]):
+        around = [b for b in blocks if b.within(parent)]
+        added = [b for b in around if not b.within(path)]
+        inner = [b for b in around if b.within(path)]
+        own = [b for b in added if b.owners[-1][1] == parent]
+        text, links, size = sum(b.weight for b in own), sum(b.links for b in own), sum(b.weight for b in inner)
+        body = _tag(parent) == "body"
+        headings = ("h1", "h2") if body else _HEADINGS
+        takes = any(b.tag in headings and b.weight for b in own)
+        takes = takes or (text > links and (not body or 10 * text >= size))
+        if not takes and not body and sum(b.weight for b in added) > sum(b.links for b in added):
+            boxes = {(_number(b, parent), _number(b, path)) for b in inner}
+            takes = len(boxes) > len({box for box, _ in boxes}) or (alone and 2 * size < total)
+        if takes:
+            path = parent
+    return path
+
+
+def _number(block: Block, path: str) -> int:
+    return next(number for number, p in block.around if p == path)
+
+
 def extract(html: str, path: str | None) -> str:
     """The blocks inside the elements of the path, or of the page's own best container."""
     blocks = blocks_of(html)
-    if path is None or not any(p == path for b in blocks for _, p in b.around):
+    alone = path is None or not any(b.within(path) for b in blocks)
+    if alone:
         own = scores(blocks)
         if not own:
             return " ".join(b.text for b in blocks)
-        path = widened(max(sorted(own), key=own.get))
-    return " ".join(b.text for b in blocks if any(p == path for _, p in b.around))
+        path = max(sorted(own), key=own.get)
+    path = holding(blocks, path, alone)
+    return " ".join(b.text for b in blocks if b.within(path))
 
 
 def host_of(url) -> F.col:
@@ -220,11 +323,12 @@ def votes(pages: DataFrame, html_col: str = "html", url_col: str = "url") -> Dat
             for part in slices(batch, "html"):
                 hosts, paths, shares = [], [], []
                 for host, html in zip(part.column("host").to_pylist(), part.column("html").to_pylist()):
-                    own = scores(blocks_of(html or ""))
+                    blocks = blocks_of(html or "")
+                    own = scores(blocks)
                     total = sum(own.values())
                     for path in sorted(own, key=lambda p: (-own[p], p))[:VOTES]:
                         hosts.append(host)
-                        paths.append(widened(path))
+                        paths.append(holding(blocks, path, True))
                         # in whole thousandths: sums do not depend on their order
                         shares.append(int(1000 * own[path] / total))
                 yield pa.RecordBatch.from_arrays(
