@@ -9,7 +9,8 @@
    best container. An article around the container is taken whole, else the container grows to
    the next one while that adds headings, text or sections of its own. Menus, headers, footers,
    sidebars, notices, adverts, forms, scripts, styles and comments are left out by tag, role
-   and class.
+   and class. A class word does not leave out the element that holds the article or most of
+   the page's text.
 
 Character references are decoded, white space inside a block becomes one space, and blocks
 are joined by one space. A null or empty page, and one without text, gives an empty text. A
@@ -32,6 +33,7 @@ from .frames import enrich, map_arrow, without
 from .text import slices
 
 VOTES = 3  # containers that a page votes for
+ENOUGH = 200  # letters of unmarked text that can be a whole article
 
 # fixed values: what HTML says of its elements
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -83,6 +85,9 @@ class Element:
     noise: bool
     container: bool
     number: int = 0
+    #: left out by a class word, unless it holds the article
+    marked: bool = False
+    anchor: bool = False
 
 
 @dataclass
@@ -95,6 +100,9 @@ class Block:
     tag: str = ""
     #: the containers around that the block is credited to
     owners: list[tuple[int, str]] = field(default_factory=list)
+    #: numbers of the marked elements around, and of articles, mains and main headings
+    marks: list[int] = field(default_factory=list)
+    anchors: list[int] = field(default_factory=list)
 
     @property
     def weight(self) -> int:
@@ -104,29 +112,32 @@ class Block:
         return any(p == path for _, p in self.around)
 
 
-def _described(tag: str, attributes: str) -> tuple[str, bool]:
-    """The generalised step of an element, and whether it is left out."""
-    noise = tag in _NOISE_TAGS
+def _described(tag: str, attributes: str) -> tuple[str, bool, bool]:
+    """The generalised step of an element, whether it is left out, and whether a class word says so."""
+    noise, marked = tag in _NOISE_TAGS, False
     classes = ""
     for name, *values in _ATTRIBUTE.findall(attributes) if attributes else ():
         value, name = "".join(values).lower(), name.lower()
         if name == "role":
             noise = noise or value in _NOISE_ROLES
-        elif tag not in ("html", "body", "article", "main"):
+        else:
             words = set()
             for one in value.split():
                 if not one.startswith(("has-", "no-", "with-", "without-")):
                     words.update(_CLASS_WORD.findall(one))
-            noise = noise or not words.isdisjoint(_NOISE_WORDS)
+            marked = marked or not words.isdisjoint(_NOISE_WORDS)
         if name == "class":
             classes = "".join(sorted({"." + re.sub(r"[\d/]+", "", one) for one in value.split()}))
-    return tag + classes, noise
+    return tag + classes, noise, marked
 
 
 def blocks_of(html: str) -> list[Block]:
     """The blocks of text outside what is left out, in page order."""
     stack: list[Element] = []
     blocks: list[Block] = []
+    #: anchors around each marked element, and the tags of anchors
+    outside: dict[int, list[int]] = {}
+    anchors: dict[int, str] = {}
     pieces: list[str] = []
     state = {"links": 0, "seen": 0}
 
@@ -136,7 +147,10 @@ def blocks_of(html: str) -> list[Block]:
             if text and not any(e.noise for e in stack):
                 around = [(e.number, e.path) for e in stack if e.container]
                 tag = next((e.tag for e in reversed(stack) if e.tag not in _INLINE), "")
-                blocks.append(Block(text, min(state["links"], len(text)), around, tag))
+                block = Block(text, min(state["links"], len(text)), around, tag)
+                block.marks = [e.number for e in stack if e.marked]
+                block.anchors = [e.number for e in stack if e.anchor]
+                blocks.append(block)
             pieces.clear()
         state["links"] = 0
 
@@ -183,17 +197,57 @@ def blocks_of(html: str) -> list[Block]:
                     break
         if found.group(4).endswith("/") and tag in ("svg", "path", "use"):
             continue
-        step, noise = _described(tag, found.group(4))
+        step, noise, word = _described(tag, found.group(4))
         container = tag not in _INLINE and tag not in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "pre", "li", "html")
         state["seen"] += 1
         path = next((e.path for e in reversed(stack) if e.container), "")
-        stack.append(Element(tag, f"{path}/{step}" if container else path, noise, container, state["seen"]))
+        marked = word and tag not in ("html", "body", "article", "main")
+        anchor = tag in ("article", "main", "h1") and not word
+        if marked:
+            outside[state["seen"]] = [e.number for e in stack if e.anchor]
+        if anchor:
+            anchors[state["seen"]] = tag
+        stack.append(Element(tag, f"{path}/{step}" if container else path, noise, container, state["seen"], marked, anchor))
     text(html[at:])
     flush()
+    blocks = _unmarked(blocks, outside, anchors)
     _credit(blocks)
     return blocks
 
 
+def _unmarked(blocks: list[Block], outside: dict[int, list[int]], anchors: dict[int, str]) -> list[Block]:
+    """The blocks outside marked elements. Marks of elements that hold the article are lifted, outermost first."""
+    if not any(b.marks for b in blocks):
+        return blocks
+    total = sum(b.weight for b in blocks)
+    held: dict[int, int] = {}
+    holds: dict[int, set[str]] = {}
+    for block in blocks:
+        for mark in block.marks:
+            held[mark] = held.get(mark, 0) + block.weight
+            if block.weight and block.anchors:
+                inside = [a for a in block.anchors if a > mark and a not in outside[mark]]
+                holds.setdefault(mark, set()).update(anchors[a] for a in inside)
+    lifted: set[int] = set()
+    for mark in sorted(held):
+        most = held[mark] > 0 and 2 * held[mark] >= total
+        own = holds.get(mark, set())
+        if not (most or own):
+            continue
+        kept = [b for b in blocks if lifted.issuperset(b.marks)]
+        body: dict[int, int] = {}
+        for block in kept:
+            for a in block.anchors:
+                body[a] = body.get(a, 0) + (0 if block.tag in _HEADINGS else block.weight)
+        # an article elsewhere, or around the element with text of its own
+        other = any(anchors[a] != "h1" and (a not in outside[mark] or n >= ENOUGH) for a, n in body.items())
+        title = any(anchors[a] == "h1" for a in body)
+        little = sum(b.weight for b in kept if b.tag not in _HEADINGS) < ENOUGH
+        if not other and ((own and not title) or (most and (not title or little or own & {"article", "main"}))):
+            lifted.add(mark)
+    return [b for b in blocks if lifted.issuperset(b.marks)]
+
+
 def _tag(path: str) -> str:
     return path.rsplit("/", 1)[1].split(".")[0]
 

@@ -42,3 +42,33 @@ def test_hosts_of_boxes(spark):
     ]
     found = webpages.extract_pages(spark.createDataFrame(rows, "page_id bigint, url string, html string"))
     assert [r["text"] for r in found.orderBy("page_id").collect()] == [plain(html) for html in INNER.values()]
+
+
+WRAPPERS = {
+    "sidebar": "<div class='page-with-sidebar'><article><h1>Title</h1><p>{}</p></article><div class='sidebar'>Other</div></div>",
+    "layout": "<div class='layout sidebar-right'><div class='text'><h1>Title</h1><p>{}</p></div><div class='comments'>First!</div></div>",
+    "no": "<div class='no_sidebar'><h2>Title</h2><p>{}</p></div>",
+    "id": "<h1>Title</h1><div id='content-and-comments'><p>{}</p><ol class='comments'><li>First!</li></ol></div>",
+    "main": "<main><h1>Title</h1><div class='header-overlay'><p>{}</p></div></main><div class='promo'>Buy</div>",
+    "logo": "<h1>Title</h1><div class='with_menu search-page'><article><p>{}</p></article></div><div>" + "Legal words. " * 20 + "</div>",
+    "two": "<div id='page-sidebar'><div class='social-theme'><h1>Title</h1><p>{}</p></div></div>",
+}
+
+
+@pytest.mark.parametrize("kind", list(WRAPPERS))
+def test_wrappers_with_noise_words_keep_the_article(kind):
+    found = webpages.extract(f"<html><body>{WRAPPERS[kind].format(BODY)}</body></html>", None)
+    assert found == plain(BODY if kind == "logo" else f"Title {BODY}")
+
+
+@pytest.mark.parametrize("box", ["comments", "related", "promo"])
+def test_noise_beside_an_article_stays_out(box):
+    noise = f"<div class='{box}'><article class='comment'><p>{BODY * 5}</p></article></div>"
+    for html in (
+        f"<article><h1>Title</h1><p>{BODY}</p></article>{noise}",
+        f"<article><h1>Title</h1><p>{BODY}</p>{noise}</article>",
+        f"<div class='post'><h1>Title</h1><p>{BODY}</p></div>{noise}",
+        f"<article><h1>Title</h1><p>Short.</p></article>{noise}",
+    ):
+        expected = "Title Short." if "Short." in html else plain(f"Title {BODY}")
+        assert webpages.extract(f"<html><body>{html}</body></html>", None) == expected
