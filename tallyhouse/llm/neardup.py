@@ -2,11 +2,11 @@
 
 The set of a document is its distinct shingles of ``SHINGLE`` words. Its signature has
 ``POSITIONS`` minima of ``2**BITS`` values each; the distance of two signatures is the number
-of positions in which they differ. Documents at the required similarity differ in 15 % of
-the positions on average, and in more than ``MAX_DISTANCE`` about once in 10**5 pairs.
+of positions in which they differ. Documents at the required similarity differ in the rest of
+the positions on average (15 % at 85), and in more than ``max_distance`` about once in 10**5 pairs.
 
-*Pigeonhole.* The positions are split into ``CHUNKS`` chunks with ``2 * CHUNKS`` above
-MAX_DISTANCE, so signatures within it have a chunk with at most one error. *Enumeration.* Each
+*Pigeonhole.* The positions are split into more than half as many chunks as ``max_distance``,
+so signatures within it have a chunk with at most one error. *Enumeration.* Each
 chunk is indexed once for each of its positions with that position left out; signatures that
 agree in one of these keys are candidates, so no pair within the distance is missed.
 
@@ -35,8 +35,8 @@ from .text import SOLID, Words, mix, slices, window_hashes
 SHINGLE = 5
 POSITIONS = 128
 BITS = 8
-MAX_DISTANCE = 37
-CHUNKS = 19
+#: Share of the pairs at the required similarity that may differ in more positions than looked for.
+MISSED = 1 / 40_000
 #: Keys of a bucket of the index, about.
 BUCKET_KEYS = 2_000_000
 #: Rows, and shingles, of one side of a comparison in one task.
@@ -45,7 +45,21 @@ BLOCK_SHINGLES = 1_000_000
 _RNG = np.random.default_rng(85)
 _MULTIPLIERS = _RNG.integers(0, 2**31, POSITIONS).astype(np.uint32) * np.uint32(2) + np.uint32(1)
 _SALTS = _RNG.integers(0, 2**63, 2, dtype=np.uint64)
-_CUTS = np.linspace(0, POSITIONS, CHUNKS + 1).astype(int)
+
+
+def max_distance(percent: int) -> int:
+    """Positions in which signatures at ``percent`` similarity differ at most, but for MISSED (37 at 85)."""
+    p, above = percent / 100, 1.0
+    for k in range(POSITIONS):
+        above -= math.comb(POSITIONS, k) * (1 - p) ** k * p ** (POSITIONS - k)
+        if above <= MISSED:
+            return k
+    return POSITIONS
+
+
+def chunk_cuts(percent: int) -> np.ndarray:
+    """The bounds of the chunks: one of them has at most one error (19 chunks at 85)."""
+    return np.linspace(0, POSITIONS, max_distance(percent) // 2 + 2).astype(int)
 
 
 def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -107,12 +121,13 @@ def _describe(text_col: str):
     return run
 
 
-def _index_keys(splits: int):
+def _index_keys(splits: int, cuts: np.ndarray):
     """Messages of (class, keys) to the buckets of the keys.
 
     All keys of a chunk go to one bucket, or to ``splits`` of them by hash, so a class has at
     most one entry in the forest of each chunk and split, whatever the number of tasks.
     """
+    chunks = len(cuts) - 1
 
     def run(batches):
         for batch in batches:
@@ -122,17 +137,17 @@ def _index_keys(splits: int):
             sig = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint8).reshape(n, POSITIONS)
             values = mix(sig.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.arange(POSITIONS, dtype=np.uint64))
             keys = np.empty((n, POSITIONS), np.uint64)
-            for a, b in zip(_CUTS[:-1], _CUTS[1:]):
+            for a, b in zip(cuts[:-1], cuts[1:]):
                 whole = values[:, a:b].sum(axis=1, dtype=np.uint64)
                 for k in range(a, b):  # the chunk without position k
                     keys[:, k] = mix(whole - values[:, k] + np.uint64(k))
             flat = keys.ravel()
             owner = np.repeat(np.arange(n), POSITIONS)
-            chunk = np.tile(np.repeat(np.arange(CHUNKS), np.diff(_CUTS)), n)
+            chunk = np.tile(np.repeat(np.arange(chunks), np.diff(cuts)), n)
             target = chunk * splits + ((flat >> np.uint64(20)) % np.uint64(splits)).astype(np.int64)
             order = np.lexsort((owner, target))
             flat, owner, target = flat[order], owner[order], target[order]
-            ends = np.searchsorted(target, np.arange(CHUNKS * splits + 1))
+            ends = np.searchsorted(target, np.arange(chunks * splits + 1))
             names = batch.column("cls").to_pylist()
             out = []
             for bucket in np.unique(target).tolist():
@@ -242,13 +257,14 @@ def near_duplicates(
     map_arrow(rows, _describe("_text"), fields).write.parquet(path)
     described = spark.read.parquet(path)
 
-    splits = math.ceil((described.where("cls IS NOT NULL").count() + 1) * POSITIONS / CHUNKS / BUCKET_KEYS)
+    cuts = chunk_cuts(percent)
+    splits = math.ceil((described.where("cls IS NOT NULL").count() + 1) * POSITIONS / (len(cuts) - 1) / BUCKET_KEYS)
     classes = described.where("cls IS NOT NULL").groupBy("cls")
     signed = classes.agg(F.first("signature").alias("signature"))
     named = classes.agg(
         F.min(F.struct(F.col("id"), F.col("row"))).alias("one"), F.min("id").alias("least"), F.max("n_shingles").alias("n")
     )
-    sent = map_arrow(signed, _index_keys(splits), "target int, classes binary, counts binary, keys binary")
+    sent = map_arrow(signed, _index_keys(splits, cuts), "target int, classes binary, counts binary, keys binary")
     family = components(sent.groupBy("target").applyInArrow(_candidates, "a binary, b binary"))
 
     # rows of one family are compared in blocks: every pair of blocks meets in one task
