@@ -1,8 +1,10 @@
 """Toxicity by a weighted lexicon, matched with Aho-Corasick on folded text.
 
 *Folding.* Lower case, homoglyphs of Latin letters, and digits and signs that stand for
-letters become the letters, one character for one. A term matches at the start of a folded
-word and covers any ending.
+letters become the letters, one character for one; i, l and the signs for either are one letter.
+A term matches at the start of a folded word and covers any ending; a word shorter than
+``SHORTEST`` is a term as a whole word only. ``!`` and ``|`` inside a word are read as letters
+and as gaps, and 6 as g and as b.
 
 *Lexicon.* Word beginnings of labelled documents that are significantly more frequent in
 toxic ones; near copies of one document support a term once. A term weighs the logarithm of its odds
@@ -33,33 +35,49 @@ from .text import slices
 
 # fixed values: letters that look like Latin ones, and signs used in their place
 HOMOGLYPHS = dict(zip("аеорсухіјѕԁһкмтвнαοερτυνικ", "aeopcyxijsdhkmtbhaoeptuvik"))
-SIGNS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
+SIGNS = dict(zip("013456789@$!|l", "oieasgtbgasiii"))
 #: fixed values: terms where no labels are given
 SEED_TERMS = ("idiot", "moron", "stupid", "scum", "pathetic", "worthless", "disgusting", "loser")
 #: fixed values: phrases that hold a harmless use of a term
 PHRASES = ("trash can", "trash bin", "class clown", "clown fish", "sore loser")
 SHORTEST, LONGEST = 4, 10
+WHOLE = "."  # ends a term that is a whole word
 SIGNIFICANT = 30.0
 THRESHOLD = 0.7
 
 _WIDE = {c: c - 0xFEE0 for c in range(0xFF01, 0xFF5F)}
-_FOLD = {**_WIDE, **{ord(a): ord(b) for a, b in {**HOMOGLYPHS, **SIGNS}.items()}}
+_LETTERS = {a: SIGNS.get(b, b) for a, b in HOMOGLYPHS.items()}
+_FOLD = {**_WIDE, **{ord(a): ord(b) for a, b in {**_LETTERS, **SIGNS}.items()}}
 _WORD = re.compile(r"[^\W_]+")
+_SIX = re.compile(r"(?<=[^\W\d_])[6\uff16]|[6\uff16](?=[^\W\d_])")
+_GAP = re.compile(r"(?<=\w)[!|\uff01\uff5c]+(?=\w)")
 
 
 def fold(text: str) -> str:
     return text.translate(_WIDE).lower().translate(_FOLD)
 
 
+def readings(text: str) -> list[str]:
+    """The folded text, and readings with gaps for signs inside words and with b for 6; places agree."""
+    out = [text]
+    if _GAP.search(text):
+        out.append(_GAP.sub(lambda m: " " * len(m.group()), text))
+    if _SIX.search(text):
+        out += [_SIX.sub("b", one) for one in out]
+    return [fold(one) for one in out]
+
+
 def stems(text: str) -> set[str]:
-    """Beginnings of the folded words of a text."""
-    return {w[:n] for w in set(_WORD.findall(fold(text))) for n in range(SHORTEST, min(LONGEST, len(w)) + 1)}
+    """Beginnings of the folded words of a text, and its shorter words whole."""
+    words = {w for one in readings(text) for w in _WORD.findall(one)}
+    out = {w[:n] for w in words for n in range(SHORTEST, min(LONGEST, len(w)) + 1)}
+    return out | {w + WHOLE for w in words if 1 < len(w) < SHORTEST}
 
 
 @dataclass
 class Lexicon:
     weights: dict[str, float]
-    exceptions: list[str] = field(default_factory=lambda: list(PHRASES))
+    exceptions: list[str] = field(default_factory=lambda: [fold(p) for p in PHRASES])
     #: logistic curve over (1, log weight, log weight per thousand words)
     curve: tuple[float, float, float] = (-4.0, 2.0, 0.5)
 
@@ -68,9 +86,10 @@ class Lexicon:
 
         found = ahocorasick.Automaton()
         for phrase in self.exceptions:
-            found.add_word(phrase, (len(phrase), None))
+            found.add_word(phrase, (len(phrase), None, True))
         for term, weight in self.weights.items():
-            found.add_word(term, (len(term), weight))
+            word = term.removesuffix(WHOLE)
+            found.add_word(word, (len(word), weight, word != term))
         if len(found):
             found.make_automaton()
         return found
@@ -79,19 +98,20 @@ class Lexicon:
         """(start, weight) of the longest term at each word start, outside exceptions."""
         best: dict[int, tuple[int, float]] = {}
         allowed: list[tuple[int, int]] = []
-        for end, (size, weight) in matcher.iter(folded) if len(matcher) else ():
+        for end, (size, weight, whole) in matcher.iter(folded) if len(matcher) else ():
             start = end - size + 1
             if start and folded[start - 1].isalnum():
                 continue
+            if whole and end + 1 < len(folded) and folded[end + 1].isalnum():
+                continue
             if weight is None:
-                if end + 1 == len(folded) or not folded[end + 1].isalnum():
-                    allowed.append((start, end))
+                allowed.append((start, end))
             elif start not in best or best[start][0] < size:
                 best[start] = (size, weight)
         return [(s, w) for s, (_, w) in best.items() if not any(a <= s <= b for a, b in allowed)]
 
     def features(self, matcher, text: str) -> tuple[float, float, float]:
-        total = sum(w for _, w in self.matches(matcher, fold(text)))
+        total = sum({s: w for one in readings(text) for s, w in self.matches(matcher, one)}.values())
         words = text.count(" ") + text.count("\n") + 1
         return 1.0, math.log1p(total), math.log1p(1000 * total / words)
 
@@ -141,7 +161,7 @@ def learn(sample: DataFrame) -> Lexicon:
     sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n_clean, n_toxic = sizes.get(0, 0), sizes.get(1, 0)
     if not n_clean or not n_toxic:
-        return Lexicon(dict.fromkeys(SEED_TERMS, 3.0))
+        return Lexicon(dict.fromkeys(map(fold, SEED_TERMS), 3.0))
     least = max(3, math.ceil(0.005 * n_toxic))
     frequent = _counted(sample.where("label = 1"), None).where(F.col("n") >= least)
     # of a bounded sample; a term in 0.5 % of its toxic documents
@@ -160,7 +180,7 @@ def learn(sample: DataFrame) -> Lexicon:
         if odds >= 20 and significance(t, c, n_toxic, n_clean) >= SIGNIFICANT:
             taken[stem], longer[stem] = math.log(odds), stem
     weights = {longer[stem]: weight for stem, weight in taken.items()}
-    lexicon = Lexicon(weights or dict.fromkeys(SEED_TERMS, 3.0))
+    lexicon = Lexicon(weights or dict.fromkeys(map(fold, SEED_TERMS), 3.0))
     lexicon.exceptions += _exceptions(sample, lexicon)
     lexicon.curve = _fit(sample, lexicon)
     return lexicon
