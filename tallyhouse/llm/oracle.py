@@ -20,6 +20,39 @@ _LICENCES = """
   ('unlicense', 'this is free and unencumbered software released into the public domain', 3, 4, false)
 """
 
+# rest of crc32 of decimal ids: a table from the polynomial, then byte by byte
+_CRC = """
+crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc_table)"""
+
+
+def _crc(text: str) -> str:
+    characters = f"list_transform(string_split({text}, ''), lambda c: ord(c)::BIGINT)"
+    step = "lambda c, b: xor(crc_table[(xor(c, b) & 255) + 1], c >> 8)"
+    return f"xor(list_reduce(list_prepend(4294967295, {characters}), {step}), 4294967295)"
+
+
+def _field(column: str) -> str:
+    return f"coalesce(strlen({column}::VARCHAR)::VARCHAR || ':' || {column}::VARCHAR, '-')"
+
+
+def _tree(name: str, leaves: str, group: str) -> str:
+    """CTEs ``<name>_up`` (all nodes by level) and ``<name>_run`` (their runs) over leaves ``grp``, ``pos``, ``digest``."""
+    return f"""
+{name}_up AS (
+  SELECT {group} AS grp, 0 AS lvl, pos, digest, n FROM {leaves}
+  UNION ALL
+  SELECT grp, any_value(lvl) + 1, pos // 16, sha256(string_agg(digest, '' ORDER BY pos)), any_value((n + 15) // 16)
+  FROM {name}_up WHERE n > 1 GROUP BY grp, pos // 16),
+{name}_steps AS (
+  SELECT me.grp, me.lvl, me.pos, coalesce(string_agg(other.digest, '' ORDER BY other.pos) FILTER (other.pos < me.pos), '') AS before,
+    coalesce(string_agg(other.digest, '' ORDER BY other.pos) FILTER (other.pos > me.pos), '') AS after
+  FROM {name}_up me JOIN {name}_up other
+    ON me.grp IS NOT DISTINCT FROM other.grp AND me.lvl = other.lvl AND me.pos // 16 = other.pos // 16
+  WHERE me.n > 1 GROUP BY ALL)"""
+
+
 ORACLE = {
     "op1_decontaminate": r"""
 WITH words AS (
@@ -110,5 +143,89 @@ rolled AS (
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, first_word, last_word,
   coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, CAST(coalesce(score, 0) AS DOUBLE) AS score
 FROM words LEFT JOIN rolled USING (doc_id)
+""",
+    "op11_prefix_trie": f"""
+WITH {_CRC},
+turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS place,
+    md5(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS id, length(coalesce(text, '')) AS chars
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id, {_crc("conv_id::VARCHAR")} % 6 AS h FROM (SELECT DISTINCT conv_id FROM turns), crc),
+rebuilt AS (
+  SELECT c.conv_id, 0 AS part, place, id, chars FROM convs c JOIN turns t ON t.conv_id = c.conv_id - c.conv_id % 100 WHERE place < h
+  UNION ALL
+  SELECT conv_id, 1, place, id, chars FROM convs JOIN turns USING (conv_id) WHERE place >= h),
+paths AS (
+  SELECT conv_id, coalesce(list(id ORDER BY part, place) FILTER (id IS NOT NULL), []) AS ids,
+    coalesce(list(chars ORDER BY part, place) FILTER (id IS NOT NULL), []) AS sizes
+  FROM convs LEFT JOIN rebuilt USING (conv_id) GROUP BY conv_id),
+prefixes AS (
+  SELECT conv_id, d, array_to_string(ids[1:d], '') AS key, d = len(ids) AS ends, coalesce(sizes[d], 0) AS chars
+  FROM paths, unnest(range(0, len(ids) + 1)) t(d)),
+nodes AS (
+  SELECT d, key, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM prefixes GROUP BY d, key),
+kids AS (SELECT d - 1 AS d, left(key, 32 * (d - 1)) AS key, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+full_nodes AS (SELECT *, coalesce(n_children, 0) AS kids FROM nodes LEFT JOIN kids USING (d, key)),
+subtrees AS (
+  SELECT a AS d, left(key, 32 * a) AS key, count(*) FILTER (kids = 0) AS n_leaves, sum((n_convs - 1) * chars) AS saved
+  FROM full_nodes, unnest(range(0, d + 1)) t(a) GROUP BY ALL)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.kids AS n_children, n_leaves,
+  CAST(saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM full_nodes n JOIN subtrees s ON s.d = n.d AND s.key = n.key
+LEFT JOIN nodes p ON p.d = n.d - 1 AND p.key = left(n.key, 32 * (n.d - 1))
+""",
+    "op12_line_dedup": """
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+lines AS (
+  SELECT doc_id, place, lines[place] AS line,
+    translate(trim(lines[place], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM split, unnest(range(1, len(lines) + 1)) t(place)),
+shared AS (
+  SELECT key, min(doc_id) AS first FROM lines WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (first IS NOT NULL AND first <> doc_id) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (first IS NULL OR first = doc_id), '')) AS kept_sha256
+FROM lines LEFT JOIN shared USING (key) GROUP BY doc_id
+""",
+    "op13_merkle_manifest": f"""
+WITH RECURSIVE {_CRC},
+hashed AS (
+  SELECT doc_id, source, sha256({" || ".join(map(_field, ("doc_id", "source", "lang", "n_chars", "text")))}) AS leaf,
+    sha256({" || ".join(map(_field, ("doc_id", "source", "lang", "n_chars")))} || {_field(
+      "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}) AS altered,
+    {_crc("doc_id::VARCHAR")} % 5 = 0 AS tampered
+  FROM documents, crc),
+leaves AS (
+  SELECT *, leaf AS digest, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY source) AS n
+  FROM hashed),
+{_tree("doc", "leaves", "source")},
+subroots AS (
+  SELECT grp, digest, row_number() OVER (ORDER BY grp NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM doc_up WHERE n = 1),
+{_tree("src", "subroots", "0")},
+doc_tops AS (SELECT grp, max(lvl) AS top FROM doc_up GROUP BY grp),
+steps AS (
+  SELECT l.doc_id, l.source, l.pos, s.lvl, s.before, s.after FROM leaves l JOIN doc_steps s
+    ON s.grp IS NOT DISTINCT FROM l.source AND s.pos = l.pos // (16 ** s.lvl)::BIGINT
+  UNION ALL
+  SELECT l.doc_id, l.source, l.pos, t.top + s.lvl, s.before, s.after FROM leaves l
+    JOIN doc_tops t ON t.grp IS NOT DISTINCT FROM l.source
+    JOIN subroots r ON r.grp IS NOT DISTINCT FROM l.source
+    JOIN src_steps s ON s.pos = r.pos // (16 ** s.lvl)::BIGINT),
+proofs AS (SELECT source, pos, sha256(string_agg(before || after, '' ORDER BY lvl)) AS proof FROM steps GROUP BY source, pos),
+folded AS (
+  SELECT source, pos, 0 AS lvl, CASE WHEN tampered THEN altered ELSE leaf END AS cur FROM leaves
+  UNION ALL
+  SELECT f.source, f.pos, f.lvl + 1, sha256(s.before || f.cur || s.after)
+  FROM folded f JOIN steps s ON s.source IS NOT DISTINCT FROM f.source AND s.pos = f.pos AND s.lvl = f.lvl),
+ends AS (SELECT source, pos, max_by(cur, lvl) AS cur FROM folded GROUP BY source, pos),
+top AS (SELECT digest AS root FROM src_up WHERE n = 1)
+SELECT l.doc_id, l.leaf, r.digest AS subroot, root, coalesce(proof, sha256('')) AS proof_sha256, e.cur AS folded_root, e.cur = root AS verified
+FROM leaves l JOIN subroots r ON r.grp IS NOT DISTINCT FROM l.source
+JOIN ends e ON e.source IS NOT DISTINCT FROM l.source AND e.pos = l.pos
+LEFT JOIN proofs p ON p.source IS NOT DISTINCT FROM l.source AND p.pos = l.pos, top
 """,
 }

@@ -6,7 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontaminate, licenses, neardup, pieces, quality, repeats, rules, tokenfile, toxicity, webpages
+from . import (
+    decontaminate,
+    licenses,
+    linededup,
+    merkle,
+    neardup,
+    pieces,
+    quality,
+    repeats,
+    rules,
+    tokenfile,
+    toxicity,
+    trie,
+    webpages,
+)
 from .frames import table
 from .labelled import held_out, labelled_sample
 
@@ -111,6 +125,22 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = trie.numbered(table(spark, sf_dir, "conversations"))
+    return trie.prefix_trie(trie.with_shared_heads(turns))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.drop_shared_lines(docs).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_substring_dedup": op2_substring_dedup,
@@ -122,4 +152,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_html_extraction": op9_html_extraction,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_line_dedup": op12_line_dedup,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
