@@ -91,8 +91,8 @@ def as_they_are(placed: DataFrame) -> DataFrame:
 def with_shared_heads(placed: DataFrame, every: int = 100, most: int = 5) -> DataFrame:
     """Conversations that begin with turns of the first of their hundred, as rows of :func:`prefix_trie`.
 
-    Of conversation c the first h turns are those of c - c % ``every`` (all if fewer, none if it is absent),
-    where h is the crc32 of c's decimal text modulo ``most`` + 1; its own follow from the h-th on. A
+    Of conversation c the first h turns are those of c - c % ``every`` (all if fewer, none if it is absent; the
+    remainder has the sign of c), where h is the crc32 of c's decimal text modulo ``most`` + 1; its own follow from the h-th on. A
     conversation that is left without turns is one row whose ``at`` is null.
     """
     taken = F.crc32(F.col("conv").cast("string").cast("binary")) % (most + 1)
