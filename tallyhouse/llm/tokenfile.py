@@ -1,12 +1,14 @@
 """Token ids in files of Huffman-coded blocks, in ascending order of the document id.
 
-One pass counts the ids of all documents, which fixes the code; a second one writes. Between
-them only the code lengths (one byte an id of the vocabulary) go through the driver. Files are
-tables of blocks in the shared store: ids and lengths of the documents of a block, its bits,
-and a bit offset for every ``huffman.CHECKPOINT`` ids; the code lengths lie beside them.
-
-A null text is an empty one and holds the end id alone. Null ids come first; rows with equal
-ids stay side by side in no fixed order. A table without rows gives files without blocks.
+One pass encodes all texts, stores their ids and counts them, which fixes the code; a sort by range
+of the stored ids writes the files. Between them only the code lengths (one byte an id of the
+vocabulary) go through the driver. Files are tables of blocks in the shared store: ids and lengths of
+the documents of a block, its bits, and a bit offset for every ``huffman.CHECKPOINT`` ids; the code
+lengths lie beside them.
+
+A null text is an empty one and holds the end id alone. Null ids come first; rows with equal ids are
+ordered by a hash of their token ids, then by these. Very long texts are blocks of their own. A table
+without rows gives files without blocks. Other columns, whatever they are called, are not read.
 """
 
 from __future__ import annotations
@@ -114,43 +116,87 @@ def encoded(part: pa.RecordBatch, text_col: str, cache: WordCache, end_id: int)
     return np.insert(ids, places[1:], end_id), np.diff(places) + 1
 
 
-def count_ids(docs: DataFrame, text_col: str, spec: str, vocabulary: int, end_id: int) -> np.ndarray:
-    """How often each id occurs in all documents."""
+def _id_kind(vocabulary: int) -> str:
+    return "<u2" if vocabulary <= 1 << 16 else "<u4"
+
+
+def encode_texts(docs: DataFrame, path: str, spec: str, vocabulary: int, end_id: int, id_col: str, text_col: str) -> DataFrame:
+    """Store ``id``, ``tokens`` (the ids of a text, in as few bytes as the vocabulary allows) and ``mark``, a hash of them.
+
+    The only pass over the texts. Each task ends with a row that counts its ids (``tally``), so that the counts
+    come out of the same pass.
+    """
+    kind = np.dtype(_id_kind(vocabulary))
+    id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        total = np.zeros(vocabulary, np.int64)
+        total, id_arrow = np.zeros(vocabulary, np.int64), None
         for batch in batches:
-            for part in slices(batch, text_col):
-                ids, _ = encoded(part, text_col, word_cache(spec), end_id)
+            id_arrow = batch.schema.field("id").type
+            for part in slices(batch, "text"):
+                ids, sizes = encoded(part, "text", word_cache(spec), end_id)
                 total += np.bincount(ids, minlength=vocabulary)
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
+                ends = np.r_[0, np.cumsum(sizes) * kind.itemsize]
+                data = pa.py_buffer(ids.astype(kind).tobytes())
+                tokens = pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(ends.astype("<i8").tobytes()), data])
+                nothing = pa.nulls(len(sizes), pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column("id"), tokens.cast(pa.binary()), nothing], ["id", "tokens", "tally"])
+        if id_arrow is not None:
+            used = np.flatnonzero(total)
+            tally = np.stack([used, total[used]]).astype("<i8").tobytes()
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(1, id_arrow), pa.nulls(1, pa.binary()), pa.array([tally], pa.binary())], ["id", "tokens", "tally"]
+            )
+
+    plain = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
+    rows = map_arrow(plain, run, f"id {id_type}, tokens binary, tally binary")
+    rows = rows.withColumn("mark", F.xxhash64("tokens"))
+    rows.write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.parquet(path)
+
+
+def count_ids(stored: DataFrame, vocabulary: int) -> np.ndarray:
+    """How often each id occurs, from one tally for each task that encoded texts."""
 
-    counted = map_arrow(docs.select(text_col), run, "id bigint, n bigint")
+    def run(batches):
+        for batch in batches:
+            for tally in batch.column("tally").to_pylist():
+                used, n = np.frombuffer(tally, "<i8").reshape(2, -1)
+                yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(n)], ["id", "n"])
+
+    counted = map_arrow(stored.select("tally").where("tally is not null"), run, "id bigint, n bigint")
     out = np.zeros(vocabulary, np.int64)
     for row in counted.groupBy("id").agg(F.sum("n").alias("n")).collect():  # at most the vocabulary
         out[row["id"]] = row["n"]
     return out
 
 
+def _tokens(column: pa.Array, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all rows in one array, and their number per row."""
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    raw = np.frombuffer(data, np.uint8)[at[0] : at[-1]]
+    return np.frombuffer(raw.tobytes(), kind).astype(np.int32), np.diff(at) // kind.itemsize
+
+
 def write(docs: DataFrame, path: str, tokenizer_json: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Write the ids of all documents as files below ``path``."""
     from tokenizers import Tokenizer
 
     spark = docs.sparkSession
     vocabulary = max(Tokenizer.from_str(tokenizer_json).get_vocab_size(with_added_tokens=True), end_id + 1)
-    counts = count_ids(docs, text_col, tokenizer_json, vocabulary, end_id)
-    lengths = code_lengths(counts, max(16, int(vocabulary - 1).bit_length()))
+    stored = encode_texts(docs, f"{path}/encoded", tokenizer_json, vocabulary, end_id, id_col, text_col)
+    lengths = code_lengths(count_ids(stored, vocabulary), max(16, int(vocabulary - 1).bit_length()))
     spark.createDataFrame([(bytearray(lengths.tobytes()),)], "lengths binary").write.parquet(f"{path}/code")
-    shared = spark.sparkContext.broadcast((tokenizer_json, lengths))
+    shared = spark.sparkContext.broadcast(lengths)
+    kind = np.dtype(_id_kind(vocabulary))
 
     def run(batches):
-        spec, lengths = shared.value
-        code, cache, task = Code(lengths), word_cache(spec), TaskContext.get().partitionId()
+        code, task = Code(shared.value), TaskContext.get().partitionId()
         before = 0
         for batch in batches:
-            for part in slices(batch, text_col):
-                ids, sizes = encoded(part, text_col, cache, end_id)
+            for part in slices(batch, "tokens"):
+                ids, sizes = _tokens(part.column("tokens"), kind)
                 ends = np.cumsum(sizes)
                 start = 0
                 while start < len(ends):
@@ -173,10 +219,12 @@ def write(docs: DataFrame, path: str, tokenizer_json: str, end_id: int, id_col:
                     before += len(own)
                     start = stop
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    ordered = docs.select(docs[id_col].alias("id"), text_col).repartitionByRange("id").sortWithinPartitions("id")
-    fields = f"part int, before bigint, n bigint, ids array<{kind}>, sizes array<int>, checkpoints binary, bits binary"
-    map_arrow(ordered, run, fields).write.parquet(f"{path}/blocks")
+    id_type = docs.schema[id_col].dataType.simpleString()
+    # rows of one id by the hash of their ids, and by these where that is the same: one order, also over several ranges
+    texts = stored.where("tally is null").select("id", "mark", "tokens")
+    ordered = texts.repartitionByRange("id", "mark").sortWithinPartitions("id", "mark", "tokens")
+    fields = f"part int, before bigint, n bigint, ids array<{id_type}>, sizes array<int>, checkpoints binary, bits binary"
+    map_arrow(ordered.select("id", "tokens"), run, fields).write.parquet(f"{path}/blocks")
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
