@@ -19,9 +19,9 @@ def load_new_files(
     """Load the files that arrived since the last call and stop; returns the line fact.
 
     All new files form one batch: the date boundary is strict, so splitting one
-    delivery into several batches would cut off lines of its last day. A batch is a
-    load named by the stream and its number: one that broke off was never visible and
-    is loaded whole when the stream repeats it, a committed one is not loaded again.
+    delivery into several batches would cut off lines of its last day. A batch is the
+    load of its number: when the stream repeats one that broke off, it replaces what that
+    had written.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
@@ -29,7 +29,7 @@ def load_new_files(
             revenue_lines(stage_lines(batch)),
             target,
             lookback_days=lookback_days,
-            load_id=f"{checkpoint}#{batch_id}",
+            load=batch_id,
         )
 
     query = (
