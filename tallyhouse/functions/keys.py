@@ -13,8 +13,19 @@ def double_text(value: Column) -> Column:
     """Text of a double as a key holds it: plain digits from 1e-4 up to 1e16, else an exponent.
 
     Spark's own text is the shortest that gives the double back, but turns to an exponent
-    outside 1e-3 .. 1e7. Its digits are moved by the exponent, none is rounded. (From 1e16 on
-    Java 17 can write one digit more than the shortest text has.)
+    outside 1e-3 .. 1e7. The few values out there go through a higher-order function, so
+    that moving their digits is no part of the code that runs for every row.
+    """
+    size = F.abs(value)
+    plain = ((size >= 1e-3) & (size < 1e7)) | (value == 0.0)
+    rare = F.get(F.transform(F.array(value), _text_without_exponent), F.lit(0))
+    return F.when(plain, value.cast("string")).otherwise(rare)
+
+
+def _text_without_exponent(value: Column) -> Column:
+    """The digits of Spark's text moved by its exponent; none is rounded.
+
+    (From 1e16 on Java 17 can write one digit more than the shortest text has.)
     """
     text = value.cast("string")
     short = text.rlike("E")
