@@ -13,7 +13,7 @@ from tallyhouse.operators import marts, quality, serving
 from tallyhouse.operators.lines import revenue_lines, stage_lines
 from tallyhouse.plans.warehouse import MODELS, Warehouse
 from tallyhouse.session import scratch_path
-from tallyhouse.sources import ingest, seeds, star
+from tallyhouse.sources import fingerprint, ingest, seeds, star
 from tallyhouse.sources.tables import export_marts, read_export, write_csv
 from tallyhouse.sources.upsert import latest_day, upsert_invoice_lines
 from tallyhouse.streaming.lines import load_new_files
@@ -23,25 +23,29 @@ Query = Callable[[SparkSession, str], DataFrame]
 FIRST_DELIVERY_UNTIL = dt.date(1999, 12, 31)
 AS_OF = dt.datetime(2001, 12, 3, 0, 0, 0)
 
-_warehouses: dict[tuple[str, str], Warehouse] = {}
+_warehouses: dict[tuple[str, str], tuple[str, Warehouse]] = {}
 
 
 def warehouse(spark: SparkSession, folder: str) -> Warehouse:
     """The warehouse of the given tables, one per session and folder.
 
     As in any warehouse a model reads its inputs as stored tables; the first query
-    that needs a table builds it.
+    that needs a table builds it. When a file of the folder changes, the tables
+    that come from it are built again.
     """
     key = (spark.sparkContext.applicationId, folder)
-    if key not in _warehouses:
-        _warehouses[key] = Warehouse(
+    stamp = fingerprint.folder_stamp(spark, folder)
+    known, found = _warehouses.get(key, (None, None))
+    if known != stamp:
+        found = Warehouse(
             spark,
-            scratch_path(spark, "warehouse"),
+            found.folder if found else scratch_path(spark, "warehouse"),
             raw=star.shop_scan(spark, folder),
             country_region=star.shop_regions(spark, folder),
             loaded_at=star.LOADED_AT,
         )
-    return _warehouses[key]
+        _warehouses[key] = (stamp, found)
+    return found
 
 
 def _model(name: str) -> Query:

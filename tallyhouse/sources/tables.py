@@ -6,7 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -19,6 +19,39 @@ def store(df: DataFrame, path: str, partition_by: str | None = None) -> DataFram
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+def read_stored(spark: SparkSession, path: str) -> DataFrame:
+    """A table that :func:`store` wrote, perhaps in another session."""
+    return spark.read.parquet(path)
+
+
+def publish_table(df: DataFrame, table: str, path: str, partitions: Mapping[str, str]) -> None:
+    """Point a catalog table at the folder a table is stored in.
+
+    The folder's files are listed when the table is read, partitions included, so only the
+    location is switched; a table whose columns changed is declared anew.
+    """
+    spark = df.sparkSession
+    plain = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name not in partitions]
+    split = [f"`{name}` {kind}" for name, kind in partitions.items()]
+    columns = ", ".join([*plain, *split])
+    if spark.catalog.tableExists(table):
+        known = [f"`{f.name}` {f.dataType.simpleString()}" for f in spark.table(table).schema]
+        if known == [*plain, *split]:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+            spark.catalog.refreshTable(table)
+            return
+        # the table is external: its files stay
+        spark.sql(f"DROP TABLE {table}")
+    by = f" PARTITIONED BY ({', '.join(f'`{name}`' for name in partitions)})" if partitions else ""
+    listed = "spark.sql.hive.manageFilesourcePartitions"
+    before = spark.conf.get(listed)
+    spark.conf.set(listed, "false")
+    try:
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet{by} LOCATION '{path}'")
+    finally:
+        spark.conf.set(listed, before)
+
+
 @dataclass
 class ExportReport:
     """Row count per exported mart, and the reason for each one left out."""
