@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import (
@@ -62,12 +62,17 @@ def stage_lines(raw: DataFrame) -> DataFrame:
     )
 
 
-def revenue_lines(staged: DataFrame) -> DataFrame:
-    """M2: lines that carry revenue; cancellations and returns stay in as negatives.
+def carries_revenue() -> Column:
+    """Staged lines that M2 keeps.
 
     A line without a price has no known revenue flag and drops out with the free ones.
     """
-    return staged.filter(~F.col("is_non_revenue") & F.col("quantity").isNotNull()).select(
+    return ~F.col("is_non_revenue") & F.col("quantity").isNotNull()
+
+
+def revenue_lines(staged: DataFrame) -> DataFrame:
+    """M2: lines that carry revenue; cancellations and returns stay in as negatives."""
+    return staged.filter(carries_revenue()).select(
         "invoice_line_id",
         "invoice_id",
         "stock_code",

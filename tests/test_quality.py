@@ -97,3 +97,42 @@ def test_damaged_tables_fail_every_kind_of_check(spark, small):
     found = {r.check_id: r.failures for r in QUERIES["dq_damaged"](spark, small).collect()}
     kinds = {check.rsplit(".", 1)[1] for check, failures in found.items() if failures > 0}
     assert kinds == {"unique", "not_null", "relationships", "accepted_range", "accepted_values"}
+
+
+def exchanges(spark, df):
+    """Exchanges of the plan that carry rows of their own, and scans below them."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    lines = [line.strip(" :+-*|") for line in text.splitlines()]
+    return [line for line in lines if line.startswith("Exchange hashpartitioning")], text
+
+
+def test_checks_of_a_table_share_one_pass(spark, small):
+    """Three keys and two columns of the line fact: one scan and one shuffle of it."""
+    read = warehouse(spark, small).read
+    keyed, text = exchanges(spark, quality.check_table("fct_invoice_lines", read))
+    # the line fact and its two parents, in the one exchange that counts their keys
+    assert len(keyed) == 1 and text.count("FileScan") == 3 and "Join" not in text
+    # staged and revenue lines together: one count of the line keys
+    staged = [*quality._planned("stg_online_retail"),
+              *quality._planned("int_invoice_lines_cleaned", quality.carries_revenue())]
+    keyed, text = exchanges(spark, quality.run_checks(read("stg_online_retail"), staged, read))
+    assert len(keyed) == 1 and text.count("FileScan") == 1
+
+
+def test_scoped_checks(spark, table):
+    """Checks over part of the rows of a shared pass, null keys among them."""
+    parent = spark.createDataFrame([("b",)], "id string")
+    big = quality.F.col("size") > 1
+    planned = [
+        quality.Planned("unique", Unique("key")),
+        quality.Planned("unique of big", Unique("key"), big),
+        quality.Planned("filled", NotNull("key"), big),
+        quality.Planned("known", ForeignKey("label", "p", "id"), big),
+        quality.Planned("known key", ForeignKey("key", "p", "id", where="size > 1")),
+    ]
+    found = {r.check_id: r.failures for r in quality.run_checks(table, planned, lambda _: parent).collect()}
+    assert found == {"unique": 1, "unique of big": 0, "filled": 1, "known": 1, "known key": 1}
