@@ -1,12 +1,17 @@
 """Quality rules and an isolation forest over their statistics.
 
 The base rule drops documents of fewer than ten words or with many repeated words. Of the rest
-an isolation forest judges the rule statistics: documents that random splits isolate early are
-anomalous. The forest is grown on a bounded sample of labelled rows, whose labels set the
-threshold: the best separation of labels 0 and 1 that rejects at most ``FALSE_REJECTS`` of label 1.
-Without labels of both classes only the base rule rejects.
-
-A null text has no words and fails the base rule. Rows are judged one by one.
+isolation forests judge the rule statistics: documents that random splits isolate early are
+anomalous. One forest looks at the shares of kinds of characters, one at the statistics of
+words and lines (duplicate lines, repeated words, number and length of words): in one forest
+anomalies of one kind would hide those of the other. They are grown on a bounded sample of labelled
+rows, whose labels set a threshold for each, one after the other over what is left: the best separation of labels 0
+and 1 that rejects at most ``FALSE_REJECTS`` of label 1. Without labels of both classes only the
+base rule rejects.
+
+A null or empty text has no words and fails the base rule. An anomaly equal to the threshold is kept. Rows are
+judged one by one, so repeated rows and the order of rows change nothing; a very long text is a row
+like any other. An empty table gives no rows. Columns of the input called like an added one are replaced.
 """
 
 from __future__ import annotations
@@ -30,6 +35,8 @@ WINDOW = 5
 #: Small trees: with more rows the anomalies of one kind hide each other.
 TREES, TREE_ROWS, DEPTH = 200, 32, 7
 FALSE_REJECTS = 0.005
+#: the statistics of each forest: kinds of characters; words and lines
+FORESTS = (slice(0, 4), slice(4, 8))
 
 
 def _flag(chars: bytes) -> np.ndarray:
@@ -94,6 +101,10 @@ def statistics(texts: pa.Array) -> tuple[dict[str, np.ndarray], np.ndarray]:
         count(_SHOUT) / one,
         count(_UPPER) / np.maximum(word_chars, 1),
         count(_LETTER) / np.maximum(np.diff(words.offsets), 1),
+        n_dup / np.maximum(n_lines, 1),
+        n_repeat / one,
+        np.log1p(n),
+        word_chars / one,
     ]
     return counts, np.column_stack(features)
 
@@ -115,10 +126,12 @@ class Forest:
     feature: np.ndarray
     cut: np.ndarray
     path: np.ndarray
+    columns: slice = slice(None)
     threshold: float = np.inf
 
     def anomaly(self, x: np.ndarray) -> np.ndarray:
         """2 ** -(mean path / expected path), near 1 for what is isolated early."""
+        x = x[:, self.columns]
         total, rows = np.zeros(len(x)), np.arange(len(x))
         for feature, cut, path in zip(self.feature, self.cut, self.path):
             node = np.zeros(len(x), np.int64)
@@ -130,9 +143,10 @@ class Forest:
         return 2.0 ** -(total / len(self.feature) / _average_path(np.array([TREE_ROWS]))[0])
 
 
-def grow(x: np.ndarray, seed: int = 8) -> Forest:
+def grow(x: np.ndarray, columns: slice = slice(None), seed: int = 8) -> Forest:
+    x = x[:, columns]
     rng, nodes = np.random.default_rng(seed), 2 ** (DEPTH + 1) - 1
-    forest = Forest(np.full((TREES, nodes), -1), np.zeros((TREES, nodes)), np.zeros((TREES, nodes)))
+    forest = Forest(np.full((TREES, nodes), -1), np.zeros((TREES, nodes)), np.zeros((TREES, nodes)), columns)
     for tree in range(TREES):
         todo = [(0, 0, x[rng.choice(len(x), min(TREE_ROWS, len(x)), replace=False)])]
         while todo:
@@ -149,8 +163,8 @@ def grow(x: np.ndarray, seed: int = 8) -> Forest:
     return forest
 
 
-def learn(sample: DataFrame) -> Forest | None:
-    """Forest and threshold from a bounded sample (``text``, ``label``)."""
+def learn(sample: DataFrame) -> list[Forest]:
+    """Forests and thresholds from a bounded sample (``text``, ``label``)."""
 
     def run(batches):
         for batch in batches:
@@ -163,32 +177,41 @@ def learn(sample: DataFrame) -> Forest | None:
 
     rows = map_arrow(sample, run, "x array<double>, failed boolean, label int")
     rows = rows.orderBy("x", "label").toPandas()  # bounded by the sample
-    if rows["label"].nunique() < 2:
-        return None
     rows = rows[~rows["failed"]]
+    if rows["label"].nunique() < 2:
+        return []
     x, y = np.array(rows["x"].tolist()), rows["label"].to_numpy()
-    forest = grow(x)
-    scores = forest.anomaly(x)
-    good, bad = np.sort(scores[y == 1]), np.sort(scores[y == 0])
+    forests, left = [], np.ones(len(y), bool)
+    for columns in FORESTS:
+        forest = grow(x, columns)
+        scores = forest.anomaly(x)
+        forest.threshold = _threshold(scores[left & (y == 1)], scores[left & (y == 0)])
+        left &= scores <= forest.threshold
+        forests.append(forest)
+    return forests
+
+
+def _threshold(good: np.ndarray, bad: np.ndarray) -> float:
+    """The anomaly above which most of label 0 and next to nothing of label 1 lies; infinite without both."""
     if not len(good) or not len(bad):
-        return None
-    tried = np.quantile(scores, np.linspace(0.5, 1, 1001))
-    wrong = 1 - np.searchsorted(good, tried, "right") / len(good)
-    right = 1 - np.searchsorted(bad, tried, "right") / len(bad)
-    gain = np.where(wrong <= FALSE_REJECTS, right - wrong, -1)
-    forest.threshold = float(tried[int(gain.argmax())])
-    return forest
+        return np.inf
+    tried = np.quantile(np.r_[good, bad], np.linspace(0, 1, 2001))
+    wrong = 1 - np.searchsorted(np.sort(good), tried, "right") / len(good)
+    right = 1 - np.searchsorted(np.sort(bad), tried, "right") / len(bad)
+    return float(tried[int(np.where(wrong <= FALSE_REJECTS, right - wrong, -1).argmax())])
 
 
-def judge(docs: DataFrame, forest: Forest | None, text_col: str = "text") -> DataFrame:
-    """The documents with the columns of FIELDS. One narrow pass."""
-    shared = docs.sparkSession.sparkContext.broadcast(forest)  # TREES trees of bounded depth
+def judge(docs: DataFrame, forests: list[Forest], text_col: str = "text") -> DataFrame:
+    """The documents with the columns of FIELDS; ``anomaly`` is the largest of the forests. One narrow pass."""
+    shared = docs.sparkSession.sparkContext.broadcast(forests)  # TREES trees of bounded depth each
 
     def rows(part: pa.RecordBatch) -> dict:
         counts, x = statistics(part.column(text_col))
         failed = base_failed(counts)
-        anomaly = shared.value.anomaly(x) if shared.value else np.zeros(len(x))
-        odd = anomaly > shared.value.threshold if shared.value else np.zeros(len(x), bool)
+        anomaly, odd = np.zeros(len(x)), np.zeros(len(x), bool)
+        for forest in shared.value:
+            own = forest.anomaly(x)
+            anomaly, odd = np.maximum(anomaly, own), odd | (own > forest.threshold)
         return {**counts, "base_failed": failed, "anomaly": anomaly, "kept": ~failed & ~odd}
 
     return enrich(docs, FIELDS, rows, text_col)
