@@ -1,15 +1,18 @@
 """Quality classifier: random-indexing vectors pooled per document, and a small network.
 
 *Vectors.* Each word, and each shape of a word (runs of letters, digits and signs), has a row
-in a hashed table of fixed size. A row is the sum of the random index vectors of the neighbours that
-the word has in the sample, scaled to length one. A document is the mean of the rows of
-its words and of its shapes.
+in a hashed table of fixed size, so words of a large vocabulary share rows. A row is the sum of the
+random index vectors of the neighbours that the word has in all documents, scaled to length one:
+one narrow pass, with one partial table for each core, which Spark adds up. A document is the mean
+of the rows of its words and of its shapes.
 
 *Network.* Two layers in numpy, fitted on nine tenths of a bounded sample of labelled rows; the last
 tenth sets the temperature of the logit, which calibrates the probabilities.
 
-A null or empty text has zero vectors and gets the score that the network gives them. Without
-labels of both classes every score is 0.5.
+A null or empty text has zero vectors and gets the score that the network gives them; a word that no
+document holds has none. Without labels of both classes every score is 0.5. Rows are scored one by
+one, so repeated rows get equal scores; very long texts are read in full and pooled in steps. Empty
+tables give no rows. A column of the input called ``score`` is replaced, others stay.
 """
 
 from __future__ import annotations
@@ -25,11 +28,14 @@ from .text import SOLID, Words, range_hash, slices
 from .text import _BASES, _BYTE
 
 DIM = 32
-WORD_ROWS, SHAPE_ROWS = 1 << 14, 1 << 12
+WORD_ROWS, SHAPE_ROWS = 1 << 16, 1 << 12
+#: entries of 1 or -1 in an index vector
+ENTRIES = 4
 NEIGHBOURS = 2
 HIDDEN = 32
 EPOCHS = 30
-SAMPLE_PARTS = 8
+#: table rows that are added up together
+CHUNK = 1 << 11
 
 _CLASS = np.arange(256, dtype=np.uint8)
 _CLASS[ord("0") : ord("9") + 1] = ord("0")
@@ -38,13 +44,10 @@ _CLASS[ord("a") : ord("z") + 1] = ord("a")
 _CLASS[128:] = ord("a")
 
 
-def _index_vectors(rows: int, seed: int) -> np.ndarray:
-    """Sparse random vectors: four entries of 1 or -1 in each row."""
+def _index_vectors(rows: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sparse random vectors: the places of their entries, and the entries."""
     rng = np.random.default_rng(seed)
-    out = np.zeros((rows, DIM), np.float32)
-    for _ in range(4):
-        out[np.arange(rows), rng.integers(0, DIM, rows)] = rng.choice([-1, 1], rows)
-    return out
+    return rng.integers(0, DIM, (ENTRIES, rows)), rng.choice([-1.0, 1.0], (ENTRIES, rows))
 
 
 def _rows_of(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -58,16 +61,17 @@ def _rows_of(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return (words.hashes() % np.uint64(WORD_ROWS)).astype(np.int64), (shape % np.uint64(SHAPE_ROWS)).astype(np.int64)
 
 
-def _contexts(rows: np.ndarray, text: np.ndarray, table_rows: int, seed: int) -> np.ndarray:
-    """Sums of the index vectors of the neighbours of each table row."""
-    index, out = _index_vectors(table_rows, seed), np.zeros((table_rows, DIM))
+def _add_contexts(total: np.ndarray, rows: np.ndarray, text: np.ndarray, index: tuple[np.ndarray, np.ndarray]) -> None:
+    """Add the index vectors of the neighbours of each word to its table row."""
+    own, near = [], []
     for step in range(1, NEIGHBOURS + 1):
-        for own, near in ((rows[step:], rows[:-step]), (rows[:-step], rows[step:])):
-            inside = text[step:] == text[:-step]
-            own, near = own[inside], near[inside]
-            for d in range(DIM):
-                out[:, d] += np.bincount(own, index[near, d], table_rows)
-    return out
+        inside = text[step:] == text[:-step]
+        left, right = rows[:-step][inside], rows[step:][inside]
+        own += [left, right]
+        near += [right, left]
+    own, near = np.concatenate(own) * DIM, np.concatenate(near)
+    for places, entries in zip(*index):
+        total += np.bincount(own + places[near], entries[near], len(total))
 
 
 def _pool(table: np.ndarray, rows: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -114,22 +118,53 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return (x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)).astype(np.float32)
 
 
-def _tables(sample: DataFrame) -> Model:
-    """Word and shape vectors: one partial table from each of a few tasks, added up."""
+def _tables(texts: DataFrame) -> Model:
+    """Word and shape vectors of all texts (``text``).
+
+    A task reads several splits, so that there are no more partial tables than a few for each core,
+    however many texts there are. Entries are whole numbers: the order of the parts does not matter.
+    """
+    context = texts.sparkSession.sparkContext
+    sizes = (WORD_ROWS, SHAPE_ROWS)
 
     def run(batches):
-        total = [np.zeros((WORD_ROWS, DIM)), np.zeros((SHAPE_ROWS, DIM))]
+        index = [_index_vectors(n, 6 + k) for k, n in enumerate(sizes)]
+        total = [np.zeros(n * DIM) for n in sizes]
         for batch in batches:
             for part in slices(batch):
                 words = Words(part.column("text"), SOLID, lower=False)
                 for k, rows in enumerate(_rows_of(words)):
-                    total[k] += _contexts(rows, words.of_text, len(total[k]), 6 + k)
-        both = np.concatenate(total).astype(np.float32).tobytes()
-        yield pa.RecordBatch.from_arrays([pa.array([both], pa.binary())], ["sums"])
+                    if len(rows) > NEIGHBOURS:
+                        _add_contexts(total[k], rows, words.of_text, index[k])
+        for k, own in enumerate(np.split(np.concatenate(total), sum(sizes) // CHUNK)):
+            if own.any():
+                sums = own.astype("<i8").tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([sums], pa.binary())], ["chunk", "sums"])
+
+    def add(batches):
+        # one chunk after the other
+        last, total = None, None
+        for batch in batches:
+            for k, sums in zip(batch.column("chunk").to_pylist(), batch.column("sums")):
+                own = np.frombuffer(sums.as_py(), "<i8")
+                if k != last and last is not None:
+                    yield _chunk(last, total)
+                last, total = k, own if k != last else total + own
+        if last is not None:
+            yield _chunk(last, total)
+
+    tasks = 2 * max(context.defaultParallelism, 8)
+    partial = map_arrow(texts.select("text").coalesce(tasks), run, "chunk int, sums binary")
+    by_chunk = partial.repartition("chunk").sortWithinPartitions("chunk")
+    sums = np.zeros(sum(sizes) * DIM)
+    for row in map_arrow(by_chunk, add, "chunk int, sums binary").collect():  # one table of fixed size
+        sums[row["chunk"] * CHUNK * DIM :][: CHUNK * DIM] = np.frombuffer(row["sums"], "<i8")
+    table = sums.reshape(-1, DIM)
+    return Model(_unit(table[:WORD_ROWS]), _unit(table[WORD_ROWS:]))
+
 
-    parts = map_arrow(sample.repartition(SAMPLE_PARTS), run, "sums binary").collect()
-    sums = sum(np.frombuffer(r["sums"], np.float32).astype(float) for r in parts).reshape(-1, DIM)
-    return Model(_unit(sums[:WORD_ROWS]), _unit(sums[WORD_ROWS:]))
+def _chunk(k: int, total: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["chunk", "sums"])
 
 
 def _train(model: Model, x: np.ndarray, y: np.ndarray) -> None:
@@ -161,9 +196,9 @@ def _train(model: Model, x: np.ndarray, y: np.ndarray) -> None:
     model.temperature = float(min(np.geomspace(0.25, 8, 61), key=loss))
 
 
-def learn(sample: DataFrame) -> Model:
-    """The model of a bounded sample (``text``, ``label``)."""
-    model = _tables(sample)
+def learn(sample: DataFrame, texts: DataFrame | None = None) -> Model:
+    """Vectors of all ``texts`` (``text``; by default the sample's) and the network of a bounded sample (``text``, ``label``)."""
+    model = _tables(sample if texts is None else texts)
 
     def run(batches):
         for batch in batches:

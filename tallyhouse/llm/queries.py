@@ -78,7 +78,7 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = quality.learn(labelled_sample(docs, table(spark, sf_dir, "labels"), "quality"))
+    model = quality.learn(labelled_sample(docs, table(spark, sf_dir, "labels"), "quality"), docs)
     return quality.score(docs, model).select(
         "doc_id",
         held_out("doc_id").alias("held_out"),
