@@ -15,16 +15,16 @@ D = dt.date.fromisoformat
 
 def raw_line(**given):
     values = {
-        "invoice": "1",
-        "stock_code": "a",
-        "description": "thing",
-        "quantity": 2,
-        "invoice_date": T("2011-01-15 10:00:00"),
-        "price": 1.5,
-        "customer_id": "5",
-        "country": "UK",
-        "_source_sheet": "s",
-        "_loaded_at": T("2011-02-01 00:00:00"),
+        "invoice": "5520",
+        "stock_code": "tin9",
+        "description": "tin box",
+        "quantity": 4,
+        "invoice_date": T("2012-04-27 16:40:00"),
+        "price": 2.25,
+        "customer_id": "77",
+        "country": "Spain",
+        "_source_sheet": "p",
+        "_loaded_at": T("2012-05-02 00:00:00"),
     }
     return tuple({**values, **given}.values())
 
@@ -79,8 +79,8 @@ def test_staging_cleans_and_flags(spark):
         "C9", "AB1", None, None)
     assert (row.is_cancellation, row.is_return, row.is_guest, row.is_non_revenue) == (
         True, True, True, False)
-    assert row.line_revenue == -3.0
-    key = "C9-AB1-2011-01-15 10:00:00--2-1.5-_dbt_utils_surrogate_key_null_"
+    assert row.line_revenue == -4.5
+    key = "C9-AB1-2012-04-27 16:40:00--2-2.25-_dbt_utils_surrogate_key_null_"
     assert row.invoice_line_id == hashlib.md5(key.encode()).hexdigest()
 
 
@@ -102,8 +102,8 @@ def test_lines_without_price_or_quantity_carry_no_revenue(spark):
     rows = [raw_line(), raw_line(price=None), raw_line(quantity=None), raw_line(price=0.0),
             raw_line(price=-1.0), raw_line(quantity=-1)]
     kept = lines.revenue_lines(staged(spark, *rows))
-    assert sorted(r.quantity for r in kept.collect()) == [-1, 2]
-    assert kept.first().invoice_month == D("2011-01-01")
+    assert sorted(r.quantity for r in kept.collect()) == [-1, 4]
+    assert kept.first().invoice_month == D("2012-04-01")
 
 
 def test_codes_that_differ_in_case_become_one_key(spark):
