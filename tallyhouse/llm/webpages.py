@@ -9,8 +9,10 @@
    best container. An article around the container is taken whole, else the container grows to
    the next one while that adds headings, text or sections of its own. Menus, headers, footers,
    sidebars, notices, adverts, forms, scripts, styles and comments are left out by tag, role
-   and class. A class word does not leave out the element that holds the article or most of
-   the page's text.
+   and class, hidden elements by their attribute. A class word does not leave out the element that
+   holds the article or most of the page's text; one that only begins a name ("social-science") leaves
+   out no paragraph, and in an article no text that runs on without links. The header of an
+   article keeps its headings.
 
 Character references are decoded, white space inside a block becomes one space, and blocks
 are joined by one space. A null or empty page, and one without text, gives an empty text. A
@@ -34,6 +36,7 @@ from .text import slices
 
 VOTES = 3  # containers that a page votes for
 ENOUGH = 200  # letters of unmarked text that can be a whole article
+SENTENCE = 40  # letters of a block that is running text
 
 # fixed values: what HTML says of its elements
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -61,8 +64,10 @@ _NOISE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner sidebar menu "
     "nav navbar navigation breadcrumb breadcrumbs cookie cookies consent gdpr notice notices alert newsletter "
     "subscribe subscription signup popup modal overlay comment comments disqus replies share sharing social "
-    "related recommended footer header masthead toolbar pagination pager search login skip".split()
+    "related recommended footer header masthead toolbar pagination pager search login skip discussion responses".split()
 )
+#: fixed values: words that also begin names of content ("social-science", "ad-hoc")
+_OPEN_WORDS = frozenset("ad ads social search share sharing skip notice alert menu promotion header responses discussion".split())
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|svg|iframe)\b[^>]*+>.*?(?:</\1\s*>|\Z)|<[!?][^>]*+>"
@@ -71,11 +76,14 @@ _TAG = re.compile(
 )
 _ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _CLASS_WORD = re.compile(r"[a-z]+")
+_QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
+_HIDDEN = re.compile(r"(?<![\w-])hidden(?![\w-])", re.I)
 #: fixed values: elements that are parts of the text around them
 _PARTS = frozenset(
     "ul ol dl dt dd blockquote table caption colgroup thead tbody tfoot tr td th figure figcaption details summary address".split()
 )
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_RUNNING = _HEADINGS | frozenset("p blockquote pre li dd td figure".split())
 
 
 @dataclass
@@ -112,23 +120,37 @@ class Block:
         return any(p == path for _, p in self.around)
 
 
-def _described(tag: str, attributes: str) -> tuple[str, bool, bool]:
-    """The generalised step of an element, whether it is left out, and whether a class word says so."""
-    noise, marked = tag in _NOISE_TAGS, False
+def _named(value: str) -> tuple[bool, bool]:
+    """Whether a class or id names something that is no article, and whether that is unsure."""
+    sure = unsure = False
+    for one in value.split():
+        if one.startswith(("has-", "no-", "with-", "without-")):
+            continue
+        words = _CLASS_WORD.findall(one)
+        for i, word in enumerate(words):
+            if word in _NOISE_WORDS:
+                # the last word of a name says what it is
+                doubtful = word in _OPEN_WORDS and i < len(words) - 1
+                sure, unsure = sure or not doubtful, unsure or doubtful
+    return sure or unsure, unsure and not sure
+
+
+def _described(tag: str, attributes: str) -> tuple[str, bool, bool, bool]:
+    """The generalised step of an element, whether it is left out, whether a class word says so, and whether that is unsure."""
+    noise, marked, unsure = tag in _NOISE_TAGS, False, True
     classes = ""
     for name, *values in _ATTRIBUTE.findall(attributes) if attributes else ():
         value, name = "".join(values).lower(), name.lower()
         if name == "role":
             noise = noise or value in _NOISE_ROLES
         else:
-            words = set()
-            for one in value.split():
-                if not one.startswith(("has-", "no-", "with-", "without-")):
-                    words.update(_CLASS_WORD.findall(one))
-            marked = marked or not words.isdisjoint(_NOISE_WORDS)
+            named, doubtful = _named(value)
+            marked, unsure = marked or named, unsure and (doubtful or not named)
         if name == "class":
             classes = "".join(sorted({"." + re.sub(r"[\d/]+", "", one) for one in value.split()}))
-    return tag + classes, noise, marked
+    if "hidden" in attributes and _HIDDEN.search(_QUOTED.sub("", attributes)):
+        noise = True
+    return tag + classes, noise, marked, marked and unsure
 
 
 def blocks_of(html: str) -> list[Block]:
@@ -138,15 +160,16 @@ def blocks_of(html: str) -> list[Block]:
     #: anchors around each marked element, and the tags of anchors
     outside: dict[int, list[int]] = {}
     anchors: dict[int, str] = {}
+    doubts: set[int] = set()
     pieces: list[str] = []
     state = {"links": 0, "seen": 0}
 
     def flush() -> None:
         if pieces:
             text = " ".join("".join(pieces).split())
-            if text and not any(e.noise for e in stack):
+            tag = next((e.tag for e in reversed(stack) if e.tag not in _INLINE), "")
+            if text and not any(e.noise and not _is_title(stack, i, tag) for i, e in enumerate(stack)):
                 around = [(e.number, e.path) for e in stack if e.container]
-                tag = next((e.tag for e in reversed(stack) if e.tag not in _INLINE), "")
                 block = Block(text, min(state["links"], len(text)), around, tag)
                 block.marks = [e.number for e in stack if e.marked]
                 block.anchors = [e.number for e in stack if e.anchor]
@@ -197,26 +220,37 @@ def blocks_of(html: str) -> list[Block]:
                     break
         if found.group(4).endswith("/") and tag in ("svg", "path", "use"):
             continue
-        step, noise, word = _described(tag, found.group(4))
+        step, noise, word, unsure = _described(tag, found.group(4))
         container = tag not in _INLINE and tag not in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "pre", "li", "html")
         state["seen"] += 1
         path = next((e.path for e in reversed(stack) if e.container), "")
-        marked = word and tag not in ("html", "body", "article", "main")
+        # a paragraph or heading is one of the text unless it is named for certain
+        marked = word and tag not in ("html", "body", "article", "main") and not (unsure and tag in _RUNNING)
         anchor = tag in ("article", "main", "h1") and not word
         if marked:
             outside[state["seen"]] = [e.number for e in stack if e.anchor]
+            if unsure:
+                doubts.add(state["seen"])
         if anchor:
             anchors[state["seen"]] = tag
         stack.append(Element(tag, f"{path}/{step}" if container else path, noise, container, state["seen"], marked, anchor))
     text(html[at:])
     flush()
-    blocks = _unmarked(blocks, outside, anchors)
+    blocks = _unmarked(blocks, outside, anchors, doubts)
     _credit(blocks)
     return blocks
 
 
-def _unmarked(blocks: list[Block], outside: dict[int, list[int]], anchors: dict[int, str]) -> list[Block]:
-    """The blocks outside marked elements. Marks of elements that hold the article are lifted, outermost first."""
+def _is_title(stack: list[Element], i: int, tag: str) -> bool:
+    """A heading in the header of an article."""
+    return stack[i].tag == "header" and tag in _HEADINGS and any(e.tag == "article" for e in stack[:i])
+
+
+def _unmarked(blocks: list[Block], outside: dict[int, list[int]], anchors: dict[int, str], doubts: set[int]) -> list[Block]:
+    """The blocks outside marked elements. Marks of elements that hold the article are lifted, outermost first.
+
+    So are unsure marks of elements inside an article whose text runs on without a link.
+    """
     if not any(b.marks for b in blocks):
         return blocks
     total = sum(b.weight for b in blocks)
@@ -228,8 +262,16 @@ def _unmarked(blocks: list[Block], outside: dict[int, list[int]], anchors: dict[
             if block.weight and block.anchors:
                 inside = [a for a in block.anchors if a > mark and a not in outside[mark]]
                 holds.setdefault(mark, set()).update(anchors[a] for a in inside)
-    lifted: set[int] = set()
+    linked = {mark for b in blocks if b.links for mark in b.marks}
+    longest: dict[int, int] = {}
+    for block in blocks:
+        for mark in block.marks:
+            longest[mark] = max(longest.get(mark, 0), block.weight)
+    in_article = {m for m in held if any(anchors[a] != "h1" for a in outside[m])}
+    lifted = {m for m in doubts & in_article if m not in linked and longest[m] >= SENTENCE}
     for mark in sorted(held):
+        if mark in lifted:
+            continue
         most = held[mark] > 0 and 2 * held[mark] >= total
         own = holds.get(mark, set())
         if not (most or own):

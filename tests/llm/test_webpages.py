@@ -72,3 +72,35 @@ def test_noise_beside_an_article_stays_out(box):
     ):
         expected = "Title Short." if "Short." in html else plain(f"Title {BODY}")
         assert webpages.extract(f"<html><body>{html}</body></html>", None) == expected
+
+
+def test_titles_in_the_header_of_an_article():
+    html = f"<body><header><h1>Site</h1></header><article><header><h1>Title</h1><p>by A.</p></header><p>{BODY}</p></article></body>"
+    assert webpages.extract(html, None) == plain(f"Title {BODY}")
+
+
+@pytest.mark.parametrize("name", ["class='social-science'", "class='ad-hoc'", "id='search-results-explained'", "class='notice-of-intent x'"])
+@pytest.mark.parametrize("tag", ["div", "p"])
+def test_names_that_only_begin_with_a_noise_word(name, tag):
+    part = f"<{tag} {name}>{LEAD}</{tag}>"
+    html = f"<body><article><h1>Title</h1>{part}<p>{BODY}</p></article></body>"
+    assert webpages.extract(html, None) == plain(f"Title {LEAD} {BODY}")
+
+
+@pytest.mark.parametrize("part", ["<div class='social-links'><a href='/'>Tell your friends about this text on all the networks</a></div>",
+                                  "<div class='ad-slot'>Buy this</div>", "<p class='advert'>{}</p>", "<div class='share'>{}</div>",
+                                  "<p hidden>{}</p>", "<div hidden='' class='x'><p>{}</p></div>", "<div class='comment-list'><p>{}</p></div>"])
+def test_noise_inside_an_article_stays_out(part):
+    html = f"<body><article><h1>Title</h1>{part.format(LEAD)}<p>{BODY}</p></article></body>"
+    assert webpages.extract(html, None) == plain(f"Title {BODY}")
+
+
+def test_hidden_is_an_attribute():
+    html = f"<body><article><h1>Title</h1><p class='hidden gem' title='hidden'>{LEAD}</p><p>{BODY}</p></article></body>"
+    assert webpages.extract(html, None) == plain(f"Title {LEAD} {BODY}")
+
+
+def test_a_discussion_longer_than_the_post():
+    entries = "".join(f"<div class='entry'><p>{BODY}</p></div>" for _ in range(5))
+    html = f"<body><div class='post'><h1>Title</h1><p>{BODY}</p></div><div class='discussion'>{entries}</div></body>"
+    assert webpages.extract(html, None) == plain(f"Title {BODY}")
