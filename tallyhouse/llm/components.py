@@ -8,32 +8,45 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 
-def _with_smallest(edges: DataFrame, smaller_only: bool) -> DataFrame:
-    """Each edge (u, v) with m, the smallest of u and its neighbours (or smaller neighbours)."""
+#: Neighbours from which a node is hot, and hot nodes at most.
+HOT = 1000
+HOT_NODES = 1000
+
+
+def _with_smallest(edges: DataFrame, smaller_only: bool, hot: int) -> DataFrame:
+    """Each edge (u, v) with m, the smallest of u and its neighbours (or smaller neighbours).
+
+    The answers of nodes with more than ``hot`` neighbours are broadcast, so their edges stay
+    where they are; the others meet theirs in a join.
+    """
     own = edges.where(F.col("v") < F.col("u")) if smaller_only else edges
-    smallest = own.groupBy("u").agg(F.min("v").alias("m"))
+    smallest = own.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
     smallest = smallest.withColumn("m", F.least("m", "u"))
-    return own.join(smallest, "u")
+    few = F.broadcast(smallest.where(F.col("n") > hot).drop("n"))
+    rest = own.join(few.select("u"), "u", "left_anti").join(smallest.where(F.col("n") <= hot).drop("n"), "u")
+    return own.join(few, "u").unionByName(rest)
 
 
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``root`` (the smallest node reachable) for every node of edges ``a``, ``b``.
 
-    Every step groups with a combine before the shuffle and joins on the node, so a node with
-    very many neighbours is one row of one side and is split on the other by AQE. Each round
-    is stored in the shared folder; lost executors recompute at most one round.
+    Every step groups with a combine before the shuffle. A node with more than ``HOT`` neighbours, and
+    more than a share of all edges that lets ``HOT_NODES`` have them, is looked up in a broadcast. Each
+    round is stored in the shared folder; lost executors recompute at most one round.
     """
     spark = edges.sparkSession
     # stored once: what finds the edges would run again for each use of them
     path = scratch_path(spark, "edges")
     edges.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u != v").write.parquet(path)
     state, before = spark.read.parquet(path), None
+    # a step has two rows for an edge of the state, and no step adds edges
+    hot = max(HOT, 2 * state.count() // HOT_NODES)
     while True:
         both = state.unionByName(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _with_smallest(both, False).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = _with_smallest(both, False, hot).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where("u != v").distinct()
         both = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        small = _with_smallest(both, True)
+        small = _with_smallest(both, True, hot)
         rewired = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             small.select("u", F.col("m").alias("v"))
         )

@@ -8,14 +8,18 @@ the positions on average (15 % at 85), and in more than ``max_distance`` about o
 *Pigeonhole.* The positions are split into more than half as many chunks as ``max_distance``,
 so signatures within it have a chunk with at most one error. *Enumeration.* Each
 chunk is indexed once for each of its positions with that position left out; signatures that
-agree in one of these keys are candidates, so no pair within the distance is missed.
+agree in one of these keys meet in a group, so no pair within the distance is missed.
+*Distance.* The signatures of a group are compared and only those within ``max_distance`` are
+linked; equal groups of several chunks are compared once, large ones in blocks spread over tasks.
 
-Equal sets are joined first (one row for any number of copies). Candidates form families;
-within a family all full sets are compared, in blocks, and the tasks return a
+Equal sets are joined first (one row for any number of copies). Signatures linked by their distance
+form families; within a family all full sets are compared, in blocks, and the tasks return a
 spanning forest of the true links. No pairs of a group are emitted.
 
 Documents without words have an empty set and are linked with nothing. A null id takes part;
-a component is named by the smallest id in it. Repeated rows are copies of each other.
+a component is named by the smallest id in it. Repeated rows are copies of each other. Texts of
+any length are read whole, a slice of a batch at a time; an empty table gives an empty result.
+Only the id and the text of ``docs`` are read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -39,6 +43,9 @@ BITS = 8
 MISSED = 1 / 40_000
 #: Keys of a bucket of the index, about.
 BUCKET_KEYS = 2_000_000
+#: Signatures of one side of a comparison in one task, and members of a group that are compared pair by pair.
+SIGNATURES = 16_384
+SHORT = 16
 #: Rows, and shingles, of one side of a comparison in one task.
 BLOCK = 1000
 BLOCK_SHINGLES = 1_000_000
@@ -193,17 +200,80 @@ def _edges(names: list[bytes], label: np.ndarray) -> pa.Table:
     )
 
 
-def _candidates(table: pa.Table) -> pa.Table:
-    """Classes that agree in a key, as a spanning forest of each bucket."""
+def _agreeing(table: pa.Table) -> pa.Table:
+    """The groups of classes that agree in keys of a bucket; equal groups of other buckets get the same number."""
     names = b"".join(table["classes"].to_pylist())
-    names = [names[i : i + 16] for i in range(0, len(names), 16)]
+    codes = np.frombuffer(names, np.uint64).reshape(-1, 2)
     counts = np.concatenate([np.frombuffer(x, np.uint8) for x in table["counts"].to_pylist()])
     keys = np.concatenate([np.frombuffer(x, np.uint64) for x in table["keys"].to_pylist()])
-    owner = np.repeat(np.arange(len(names)), counts)
+    owner = np.repeat(np.arange(len(codes)), counts)
     order = np.argsort(keys)
     keys, owner = keys[order], owner[order]
     same = np.flatnonzero(keys[1:] == keys[:-1])
-    return _edges(names, _forest(owner[same], owner[same + 1], len(names)))
+    label = _forest(owner[same], owner[same + 1], len(codes))
+    number = np.zeros(len(codes), np.uint64)
+    np.add.at(number, label, mix(codes[:, 0] ^ (codes[:, 1] << np.uint64(1))))
+    size = np.bincount(label, minlength=len(codes))
+    member = np.flatnonzero(size[label] > 1)
+    return pa.table(
+        {
+            "grp": pa.array(number[label[member]].view(np.int64)),
+            "size": pa.array(size[label[member]].astype(np.int64)),
+            "cls": pa.array([names[16 * i : 16 * i + 16] for i in member.tolist()], pa.binary()),
+        }
+    )
+
+
+def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Positions in which the rows of two matrices of signatures differ (``a`` may be one row)."""
+    lanes = (a != b).view(np.uint64).sum(axis=1, dtype=np.uint64)  # bytes of 16 at most
+    return (lanes * np.uint64(0x0101010101010101)) >> np.uint64(56)
+
+
+def _spread(found: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs within the distance that connect all that are connected: each row is held against those not yet reached."""
+    left, a, b = np.arange(len(found)), [], []
+    own = found
+    while len(left):
+        reached, left, own = [int(left[0])], left[1:], own[1:]
+        while reached and len(left):
+            pivot = reached.pop()
+            near = distances(found[pivot : pivot + 1], own) <= limit
+            if near.any():
+                a += [pivot] * int(near.sum())
+                b += left[near].tolist()
+                reached += left[near].tolist()
+                left, own = left[~near], own[~near]
+    return np.array(a, np.int64), np.array(b, np.int64)
+
+
+def close_pairs(group: np.ndarray, found: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of one group (``group`` ascends) within the distance, enough to connect all such pairs."""
+    starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else np.zeros(0, np.int64)
+    sizes = np.diff(np.r_[starts, len(group)])
+    short = np.repeat(sizes <= SHORT, sizes)
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for step in range(1, SHORT):
+        first = np.flatnonzero((group[step:] == group[:-step]) & short[step:])
+        for part in np.array_split(first, len(first) // 100_000 + 1):
+            near = part[distances(found[part], found[part + step]) <= limit]
+            a.append(near)
+            b.append(near + step)
+    for start, size in zip(starts[sizes > SHORT].tolist(), sizes[sizes > SHORT].tolist()):
+        one, other = _spread(found[start : start + size], limit)
+        a.append(one + start)
+        b.append(other + start)
+    return np.concatenate(a), np.concatenate(b)
+
+
+def _hamming(limit: int):
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("grp")
+        found = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint8).reshape(-1, POSITIONS)
+        a, b = close_pairs(table["grp"].to_numpy(), found, limit)
+        return _edges(table["cls"].to_pylist(), _forest(a, b, len(found)))
+
+    return run
 
 
 def links_of(table: pa.Table, tenths: int) -> tuple[np.ndarray, np.ndarray]:
@@ -245,6 +315,32 @@ def _verify(percent: int):
     return run
 
 
+def families(signed: DataFrame, percent: int = 85) -> DataFrame:
+    """``node`` and ``root`` of the classes (``cls``, ``signature``) that links within ``max_distance`` connect.
+
+    A class without such a link is in no row. The members of a group meet in one task up to
+    ``SIGNATURES`` of them, larger groups as pairs of blocks.
+    """
+    cuts = chunk_cuts(percent)
+    chunks = len(cuts) - 1
+    splits = math.ceil((signed.count() + 1) * POSITIONS / chunks / BUCKET_KEYS)
+    sent = map_arrow(signed, _index_keys(splits, cuts), "target int, classes binary, counts binary, keys binary")
+    groups = sent.groupBy("target").applyInArrow(_agreeing, "grp bigint, size bigint, cls binary")
+    blocks = F.ceil(F.col("size") / SIGNATURES).cast("int")
+    members = groups.distinct().join(signed, "cls").withColumn("blocks", blocks)
+    members = members.withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        F.when(F.col("blocks") > 1, F.col("grp")).otherwise(F.pmod("grp", F.lit(chunks * splits))).alias("unit"),
+        F.least("block", "other").alias("i"),
+        F.greatest("block", "other").alias("j"),
+        "grp",
+        "cls",
+        "signature",
+    )
+    limit = max_distance(percent)
+    return components(members.groupBy("unit", "i", "j").applyInArrow(_hamming(limit), "a binary, b binary"))
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85
 ) -> DataFrame:
@@ -257,15 +353,12 @@ def near_duplicates(
     map_arrow(rows, _describe("_text"), fields).write.parquet(path)
     described = spark.read.parquet(path)
 
-    cuts = chunk_cuts(percent)
-    splits = math.ceil((described.where("cls IS NOT NULL").count() + 1) * POSITIONS / (len(cuts) - 1) / BUCKET_KEYS)
     classes = described.where("cls IS NOT NULL").groupBy("cls")
     signed = classes.agg(F.first("signature").alias("signature"))
     named = classes.agg(
         F.min(F.struct(F.col("id"), F.col("row"))).alias("one"), F.min("id").alias("least"), F.max("n_shingles").alias("n")
     )
-    sent = map_arrow(signed, _index_keys(splits, cuts), "target int, classes binary, counts binary, keys binary")
-    family = components(sent.groupBy("target").applyInArrow(_candidates, "a binary, b binary"))
+    family = families(signed, percent)
 
     # rows of one family are compared in blocks: every pair of blocks meets in one task
     wanted = family.join(named.select(F.col("cls").alias("node"), "one.id", "one.row", "n"), "node")
