@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from tallyhouse.functions import cents, month_start, money_sum, percent_of, round_half_away
 from tallyhouse.operators.ranking import Ntile, with_ntiles, with_row_number
 
+#: Months in the bits of one row of ``active_months``.
+SPAN = 60
+
 
 def _kept(orders: DataFrame) -> DataFrame:
     return orders.filter(~F.col("is_cancellation"))
@@ -109,19 +112,45 @@ def revenue_monthly(orders: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
-def customer_cohorts(orders: DataFrame, customers: DataFrame) -> DataFrame:
-    """Share of each monthly cohort that orders in the months after it."""
-    active_months = (
+def active_months(orders: DataFrame) -> DataFrame:
+    """The months in which a customer orders, as one row per customer and ``SPAN`` months.
+
+    ``span`` counts the spans since year 0, bit k of ``months`` is its month k. The bits of a
+    customer are or-ed before the shuffle, which moves that row and not one for each month. Orders
+    without a date have no span and no months.
+    """
+    month = F.year("order_date").cast("bigint") * 12 + F.month("order_date") - 1
+    bit = F.expr(f"shiftleft(1L, CAST(pmod(_month, {SPAN}) AS int))")
+    return (
         _kept(orders)
         .filter(F.col("customer_id").isNotNull())
-        .select("customer_id", month_start(F.col("order_date")).alias("activity_month"))
-        .distinct()
+        .select("customer_id", month.alias("_month"))
+        .select("customer_id", F.floor(F.col("_month") / SPAN).alias("span"), bit.alias("_bit"))
+        .groupBy("customer_id", "span")
+        .agg(F.bit_or("_bit").alias("months"))
     )
+
+
+def customer_cohorts(orders: DataFrame, customers: DataFrame) -> DataFrame:
+    """Share of each monthly cohort that orders in the months after it."""
     cohort_of = customers.select("customer_id", "cohort_month")
+    by_bits = (
+        active_months(orders)
+        .join(cohort_of, "customer_id")
+        .groupBy("cohort_month", "span", "months")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    # equal histories are one row by now; the months come out of the bits only here
+    set_bits = F.expr(f"filter(sequence(0, {SPAN - 1}), k -> (shiftright(months, k) & 1L) = 1L)")
+    undated = F.array(F.lit(None).cast("int"))
+    number = F.col("span") * SPAN + F.col("_bit")
+    activity_month = F.make_date(
+        F.floor(number / 12).cast("int"), F.pmod(number, F.lit(12)).cast("int") + 1, F.lit(1)
+    )
     activity = (
-        active_months.join(cohort_of, "customer_id")
-        .groupBy("cohort_month", "activity_month")
-        .agg(F.count(F.lit(1)).alias("n_active_customers"))
+        by_bits.withColumn("_bit", F.explode(F.when(F.col("span").isNull(), undated).otherwise(set_bits)))
+        .groupBy("cohort_month", activity_month.alias("activity_month"))
+        .agg(F.sum("n").alias("n_active_customers"))
     )
     sizes = cohort_of.groupBy("cohort_month").agg(F.count("customer_id").alias("cohort_customers"))
     years = F.year("activity_month") - F.year("cohort_month")

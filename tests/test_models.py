@@ -1,5 +1,6 @@
 import datetime as dt
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -300,6 +301,36 @@ def test_cohorts(spark):
     assert tuple(matrix) == (D("2010-12-01"), 1.0, None, 0.5)
 
 
+def test_cohorts_by_bits_over_many_years(spark):
+    draw, first, rows, active = random.Random(4), {}, [], {}
+    for i in range(40):
+        name = f"c{i}"
+        days = [D("2004-12-31")] * (i % 7 == 0)  # the last month of one span of bits
+        for _ in range(30):
+            days.append(D("2005-01-01") + dt.timedelta(draw.randrange(4200)))
+        first[name] = str(min(days))
+        for day in days:
+            rows.append(order(f"{name}-{len(rows)}", name, str(day)))
+            cohort = min(days).replace(day=1)
+            active.setdefault((cohort, day.replace(day=1)), set()).add(name)
+    df, known = spark.createDataFrame(rows, ORDER), first_orders(spark, **first)
+    got = marts.customer_cohorts(df, known).collect()
+    assert {(r.cohort_month, r.activity_month): r.n_active_customers for r in got} == {
+        key: len(names) for key, names in active.items()
+    }
+    assert len(got) == len(active)
+    # one row per customer and span of five years
+    spans = {(name, month.year // 5) for (_, month), names in active.items() for name in names}
+    assert marts.active_months(df).count() == len(spans)
+
+
+def test_cohorts_keep_orders_without_a_date(spark):
+    df = spark.createDataFrame([order("1", "a", "2010-12-10")], ORDER)
+    df = df.unionByName(df.withColumn("order_date", F.lit(None).cast("date")))
+    got = marts.customer_cohorts(df, first_orders(spark, a="2010-12-10")).collect()
+    assert {(r.activity_month, r.n_active_customers) for r in got} == {(D("2010-12-01"), 1), (None, 1)}
+
+
 def test_rfm_grid(spark):
     grid = spark.range(1, 6).select(F.col("id").alias("r")).crossJoin(
         spark.range(1, 6).select(F.col("id").alias("f"))
