@@ -116,23 +116,27 @@ class Lexicon:
         return 1.0, math.log1p(total), math.log1p(1000 * total / words)
 
 
+def likeness(text: str) -> int:
+    """The smallest hash of the folded three-word shingles of a text, which near copies share and other texts do not."""
+    words = _WORD.findall(fold(text))
+    return min(hash_of(" ".join(words[i : i + 3])) for i in range(max(1, len(words) - 2)))
+
+
 def _counted(sample: DataFrame, wanted: set[str] | None) -> DataFrame:
     """(stem, label, number of documents; near copies once) for the stems of toxic documents,
-    or for the wanted stems in all documents."""
+    or for the wanted stems in all documents. The empty stem counts all documents in the same way."""
 
     def run(batches):
         for batch in batches:
             for part in slices(batch):
                 rows = []
                 for text, label in zip(part.column("text").to_pylist(), part.column("label").to_pylist()):
-                    own = stems(text)
-                    if own:
-                        likeness = min(hash_of(s) for s in own)
-                        rows += [(s, label, likeness) for s in (own & wanted if wanted is not None else own)]
+                    own, like = stems(text), likeness(text)
+                    rows += [(s, label, like) for s in (own & wanted if wanted is not None else own) | {""}]
                 if rows:
-                    stem, label, likeness = zip(*rows)
+                    stem, label, like = zip(*rows)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(stem), pa.array(label, pa.int32()), pa.array(likeness, pa.int64())],
+                        [pa.array(stem), pa.array(label, pa.int32()), pa.array(like, pa.int64())],
                         ["stem", "label", "likeness"],
                     )
 
@@ -158,15 +162,18 @@ def significance(toxic: float, clean: float, n_toxic: float, n_clean: float) ->
 
 def learn(sample: DataFrame) -> Lexicon:
     """The lexicon of a bounded sample (``text``, ``label``)."""
-    sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    n_clean, n_toxic = sizes.get(0, 0), sizes.get(1, 0)
-    if not n_clean or not n_toxic:
+    present = {r["label"] for r in sample.select("label").distinct().collect()}
+    if not {0, 1} <= present:
         return Lexicon(dict.fromkeys(map(fold, SEED_TERMS), 3.0))
+    counted = _counted(sample.where("label = 1"), None).persist()
+    n_toxic = counted.where("stem = ''").first()["n"]
     least = max(3, math.ceil(0.005 * n_toxic))
-    frequent = _counted(sample.where("label = 1"), None).where(F.col("n") >= least)
     # of a bounded sample; a term in 0.5 % of its toxic documents
+    frequent = counted.where((F.col("n") >= least) & (F.col("stem") != ""))
     toxic = {r["stem"]: r["n"] for r in frequent.collect()}
+    counted.unpersist()
     clean = {r["stem"]: r["n"] for r in _counted(sample.where("label = 0"), set(toxic)).collect()}
+    n_clean = clean[""]
     taken: dict[str, float] = {}
     longer: dict[str, str] = {}
     for stem in sorted(toxic, key=lambda x: (len(x), x)):
@@ -186,6 +193,17 @@ def learn(sample: DataFrame) -> Lexicon:
     return lexicon
 
 
+def around(folded: str, start: int, word: str) -> set[str]:
+    """The word at a place with the whole word before it, and with the one after it."""
+    phrases, first, end = set(), start - 1, start + len(word)
+    while first > 0 and folded[first - 1].isalnum():
+        first -= 1
+    if first < start - 1 and folded[start - 1] == " ":
+        phrases.add(f"{folded[first : start - 1]} {word}")
+    after = _WORD.match(folded, end + 1) if folded[end : end + 1] == " " else None
+    return phrases | ({f"{word} {after.group()}"} if after else set())
+
+
 def _exceptions(sample: DataFrame, lexicon: Lexicon) -> list[str]:
     """Phrases around terms that at least three clean documents have and no toxic one."""
 
@@ -197,9 +215,7 @@ def _exceptions(sample: DataFrame, lexicon: Lexicon) -> list[str]:
                 folded = fold(text)
                 for start, _ in lexicon.matches(matcher, folded):
                     word = _WORD.match(folded, start).group()
-                    before = re.search(r"([^\W_]+) $", folded[max(0, start - 30) : start])
-                    after = re.match(r" ([^\W_]+)", folded[start + len(word) : start + len(word) + 30])
-                    found.update({(f"{m.group(1)} {word}" if m is before else f"{word} {m.group(1)}", label) for m in (before, after) if m})
+                    found.update((phrase, label) for phrase in around(folded, start, word))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([k[0] for k in found], pa.string()),
