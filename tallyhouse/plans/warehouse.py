@@ -19,7 +19,7 @@ from tallyhouse.operators import dimensions, lines, marts, orders, quality
 from tallyhouse.schemas import COUNTRY_REGION_SCHEMA, RAW_COLUMNS
 from tallyhouse.session import check_session
 from tallyhouse.sources import fingerprint
-from tallyhouse.sources.ingest import LANDED_MONTH, LoadReport, coerce_types, dedupe, load, read_landed, write_raw
+from tallyhouse.sources.ingest import LANDED_MONTH, LoadReport, coerce_types, deal_by_time, dedupe, load, read_landed, write_raw
 from tallyhouse.sources.tables import ExportReport, export_marts, publish_table, read_stored, store
 from tallyhouse.sources.upsert import LOAD, MONTH, read_line_fact, upsert_invoice_lines
 
@@ -175,7 +175,7 @@ class Warehouse:
         if name == LANDED and isinstance(self._raw, Mapping):
             self.loaded = load(self.spark, self._raw, path, self.loaded_at)
         elif name == LANDED:
-            write_raw(dedupe(coerce_types(self._raw)), path, self.loaded_at)
+            write_raw(dedupe(deal_by_time(coerce_types(self._raw))), path, self.loaded_at)
         elif name == SEED:
             store(self._country_region.select(*[c.split()[0] for c in COUNTRY_REGION_SCHEMA.split(", ")]), path)
         elif name == LINES:

@@ -141,30 +141,47 @@ def dedupe(df: DataFrame) -> DataFrame:
 
     The survivor is the smallest by the remaining columns, so the result does not
     depend on the order of rows. ``min`` combines copies before the shuffle: a group
-    of copies of any size reaches its reducer as one row per map task.
+    of copies of any size reaches its reducer as one row per map task. Lines that
+    ``deal_by_time`` dealt are not shuffled again.
     """
-    others = [name for name in df.columns if name not in COPY_KEY]
+    # lines dealt by time are grouped and sorted in the order they are written in
+    key = [*LANDED_ORDER, "price"] if LANDED_MONTH in df.columns else COPY_KEY
+    others = [name for name in df.columns if name not in key]
     first = [name for name in ("_source_sheet", "description", "country") if name in others]
     order = first + [name for name in others if name not in first]
     survivor = F.min(F.struct(*order)).alias("survivor")
-    kept = df.groupBy(*COPY_KEY).agg(survivor)
+    kept = df.groupBy(*key).agg(survivor)
     return kept.select(
         *[
-            F.col(name) if name in COPY_KEY else F.col(f"survivor.{name}").alias(name)
+            F.col(name) if name in key else F.col(f"survivor.{name}").alias(name)
             for name in df.columns
         ]
     )
 
 
-def stamp_lineage(df: DataFrame, loaded_at: dt.datetime) -> DataFrame:
-    """L5 without the write: default part tag, one load time, the fixed ten columns."""
+def stamp_lineage(df: DataFrame, loaded_at: dt.datetime, *more: str) -> DataFrame:
+    """L5 without the write: default part tag, one load time, the fixed ten columns and ``more``."""
     if "_source_sheet" not in df.columns:
         df = df.withColumn("_source_sheet", F.lit(SAMPLE_TAG))
     stamp = F.lit(loaded_at.isoformat(sep=" ")).cast("timestamp_ntz")
-    return df.withColumn("_loaded_at", stamp).select(*RAW_COLUMNS)
+    return df.withColumn("_loaded_at", stamp).select(*RAW_COLUMNS, *more)
 
 
 LANDED_MONTH = "_landed_month"
+# the order of the landing; a price takes no part, as grouping changes the sign of a zero
+LANDED_ORDER = [LANDED_MONTH, "invoice_date", "invoice", *(c for c in COPY_KEY if c not in ("invoice_date", "invoice", "price"))]
+
+
+def deal_by_time(df: DataFrame) -> DataFrame:
+    """The lines with their month, dealt to tasks by ranges of the landing's order.
+
+    Copies of a line are in the same task and the lines of a month in few, so this one
+    shuffle serves the dedupe and the folders of the landing. A large month or invoice is split;
+    copies of one line are not. The child is run once more, for a sample of its rows: what is
+    observed belongs behind this step.
+    """
+    month = F.date_trunc("month", F.col("invoice_date").cast("timestamp_ntz")).cast("date")
+    return df.withColumn(LANDED_MONTH, month).repartitionByRange(*LANDED_ORDER)
 
 
 def write_raw(df: DataFrame, path: str, loaded_at: dt.datetime) -> int:
@@ -172,15 +189,17 @@ def write_raw(df: DataFrame, path: str, loaded_at: dt.datetime) -> int:
 
     The lines of a month lie together, in the order of their time, so that readers of new
     days open the folders of their months only, and those of an invoice stand side by side.
-    Lines without a date have a folder of their own; a large month is split.
+    Lines without a date have a folder of their own; a large month is split. Lines that
+    ``deal_by_time`` dealt stay where they are.
     """
     loaded = Observation()
-    rows = stamp_lineage(df, loaded_at).observe(loaded, F.count(F.lit(1)).alias("rows"))
-    month = F.date_trunc("month", F.col("invoice_date").cast("timestamp_ntz")).cast("date")
-    rows = rows.withColumn(LANDED_MONTH, month).hint("rebalance", LANDED_MONTH)
+    if LANDED_MONTH not in df.columns:
+        df = deal_by_time(df)
+    stamped = stamp_lineage(df, loaded_at, LANDED_MONTH)
+    rows = stamped.observe(loaded, F.count(F.lit(1)).alias("rows"))
     # an overwrite of the landing table replaces all of it, whatever the session says
     (
-        rows.sortWithinPartitions(LANDED_MONTH, "invoice_date", "invoice")
+        rows.sortWithinPartitions(*LANDED_ORDER[:3])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .partitionBy(LANDED_MONTH)
@@ -216,10 +235,10 @@ class LoadReport:
 
 
 def land(raw: DataFrame, tags: list[str], path: str, loaded_at: dt.datetime) -> LoadReport:
-    """L3 to L5 over tagged lines, in one job; the counts are observed on the way."""
+    """L3 to L5 over tagged lines; the counts are observed on the way, in the job that writes."""
     seen = Observation()
-    flagged = _with_rejections(raw)
-    counted = flagged.observe(
+    dealt = deal_by_time(_with_rejections(raw))
+    counted = dealt.observe(
         seen,
         *[F.count_if(F.col("_source_sheet") == tag).alias(f"part {i}") for i, tag in enumerate(tags)],
         *[F.count_if(F.col(f"rejected_{name}")).alias(name) for name in CHECKED],

@@ -1,9 +1,11 @@
 import datetime as dt
+import re
 
 import pytest
 
 from tallyhouse.sources import ingest
 from tallyhouse.sources.seeds import country_region, read_country_region
+from tallyhouse.sources.star import shop_scan
 from tallyhouse.sources.tables import write_csv
 
 LOADED_AT = dt.datetime(2020, 1, 2, 3, 4, 5)
@@ -227,3 +229,19 @@ def test_seed(spark, tmp_path):
     assert seed.select("region").distinct().count() == 12
     path = write_csv(seed, f"{tmp_path}/seed")
     assert sorted(read_country_region(spark, path).collect()) == sorted(seed.collect())
+
+
+def test_one_shuffle_serves_the_dedupe_and_the_months_of_the_landing(spark):
+    plan = ingest.dedupe(ingest.deal_by_time(ingest.coerce_types(raw(spark, line(), line(price="-0.0"), line(price="0.0")))))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert re.findall(r"Exchange (\w+)", text) == ["rangepartitioning"]
+    assert plan.count() == 2
+
+
+def test_lines_are_not_sorted_to_meet_their_orders(spark, small):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = shop_scan(spark, small)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert re.search(r"ShuffledHashJoin \[l_orderkey#\d+L\], \[o_orderkey#\d+L\]", text)
