@@ -179,7 +179,7 @@ class Warehouse:
         elif name == SEED:
             store(self._country_region.select(*[c.split()[0] for c in COUNTRY_REGION_SCHEMA.split(", ")]), path)
         elif name == LINES:
-            upsert_invoice_lines(self.compute(name), path, full_refresh=True)
+            upsert_invoice_lines(self.compute(name), path, full_refresh=True, by_month=True)
         else:
             store(self.compute(name), path)
 
