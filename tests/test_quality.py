@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyhouse.operators import quality
 from tallyhouse.operators.quality import AcceptedRange, AcceptedValues, ForeignKey, NotNull, Unique
@@ -136,3 +137,13 @@ def test_scoped_checks(spark, table):
     ]
     found = {r.check_id: r.failures for r in quality.run_checks(table, planned, lambda _: parent).collect()}
     assert found == {"unique": 1, "unique of big": 0, "filled": 1, "known": 1, "known key": 1}
+
+
+def test_packed_keys_are_short_and_tell_all_texts_apart(spark):
+    hashes = ["0" * 32, "00" * 15 + "01", "ab" * 16]
+    # texts that look like a packed hash, a hash and a line break, capitals
+    texts = [*hashes, "\0" * 16, "\1" + "\0" * 16, hashes[2] + "\n", hashes[2].upper(), "", "a", None]
+    rows = spark.createDataFrame([(text,) for text in texts], "key string")
+    packed = [r[0] for r in rows.select(quality._packed(F.col("key"))).collect()]
+    assert {len(p) for p in packed[:3]} == {17} and packed[-1] is None
+    assert len({bytes(p) for p in packed[:-1]}) == len(texts) - 1
