@@ -1,6 +1,7 @@
 """The search of near duplicates at other similarities than that of the query."""
 
 import math
+import re
 
 import numpy as np
 import pytest
@@ -112,3 +113,27 @@ def test_hot_nodes_of_components(spark, monkeypatch):
     rows = spark.createDataFrame(edges, "a bigint, b bigint")
     found = {r["node"]: r["root"] for r in components.components(rows).collect()}
     assert found == {i: 1 for i in range(1, 62)} | {100: 100, 101: 100}
+
+
+@pytest.mark.parametrize("hot", [5, 1000])
+def test_plans_of_components_stay_small(spark, monkeypatch, hot):
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    joins, write = [], DataFrameWriter.parquet
+
+    def counted(writer, *args, **more):
+        plan = writer._df._jdf.queryExecution().optimizedPlan().toString()
+        joins.append(len(re.findall(r"\bJoin\b", plan)))
+        return write(writer, *args, **more)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", counted)
+    monkeypatch.setattr(components, "HOT", hot)
+    edges = [(1, i) for i in range(2, 60)] + [(i, i + 1) for i in range(59, 70)]
+    found = components.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()
+    assert {r["root"] for r in found} == {1}
+    # a star held the star before it five times in its plan, so a round joined two dozen times
+    assert max(joins) <= 4
+
+
+def test_components_of_nothing(spark):
+    assert components.components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
