@@ -81,9 +81,10 @@ def _parsed_number(df: DataFrame, name: str) -> Column:
     column = F.col(name)
     if not isinstance(df.schema[name].dataType, T.StringType):
         return column
-    # Java reads a trailing d or f as part of a number
-    suffixed = column.rlike(r"[0-9.][dDfF]\s*$")
-    return F.when(~suffixed, column.try_cast("double"))
+    # Java reads a trailing d or f as part of a number (a search for a pattern in every value took
+    # longer than the cast)
+    last = F.rtrim(column, F.lit(" \t\n\x0b\f\r")).substr(-1, 1)
+    return F.when(~last.isin("d", "D", "f", "F"), column.try_cast("double"))
 
 
 def _whole_number(df: DataFrame, name: str) -> Column:
@@ -98,17 +99,12 @@ def _timestamp(df: DataFrame, name: str) -> Column:
     column = F.col(name)
     if not isinstance(df.schema[name].dataType, T.StringType):
         return column.cast("timestamp_ntz")
-    # a wall-clock time: no zone is passed through, so none of its gaps moves it
-    month_first = r"^\s*(\d{1,2})/(\d{1,2})/(\d{4}) (\d{1,2}):(\d{2})(:\d{2})?\s*$"
-    month, day, year, hour, minute, second = (
-        F.regexp_extract(column, month_first, group) for group in range(1, 7)
-    )
-    iso = F.concat(
-        year, F.lit("-"), F.lpad(month, 2, "0"), F.lit("-"), F.lpad(day, 2, "0"), F.lit(" "),
-        F.lpad(hour, 2, "0"), F.lit(":"), minute, second,
-    )
-    parsed = F.when(column.rlike(month_first), iso).otherwise(column)
-    return parsed.try_cast("timestamp_ntz")
+    # a wall-clock time: no zone is passed through, so none of its gaps moves it. A month or
+    # day out of range stays as it is, which no cast reads
+    month, day = r"(0?[1-9]|1[0-2])", r"(0?[1-9]|[12]\d|3[01])"
+    month_first = rf"^\s*{month}/{day}/(\d{{4}}) (\d{{1,2}}):(\d{{2}})(:\d{{2}})?\s*$(?s:.*)"
+    iso = F.regexp_replace(column, month_first, "$3-$1-$2 $4:$5$6")
+    return F.when(column.contains("/"), iso).otherwise(column).try_cast("timestamp_ntz")
 
 
 def coerce_types(df: DataFrame) -> DataFrame:

@@ -2,7 +2,10 @@ import datetime as dt
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from tallyhouse.functions import strip_whitespace
+from tallyhouse.plans.registry import QUERIES
 from tallyhouse.sources import ingest
 from tallyhouse.sources.seeds import country_region, read_country_region
 from tallyhouse.sources.star import shop_scan
@@ -245,3 +248,41 @@ def test_lines_are_not_sorted_to_meet_their_orders(spark, small):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert re.search(r"ShuffledHashJoin \[l_orderkey#\d+L\], \[o_orderkey#\d+L\]", text)
+
+
+def test_texts_are_read_as_by_a_search_for_patterns(spark):
+    numbers = ["5", " 7.0 ", "5d", "5.F \t", "5d\x00", "1e3", "-Infinity", "NaN", "nan", "0x1p3", "0x1p3f", "d", "", " ", "12,50", "many", None]
+    times = [
+        "3/13/2011 2:30", "13/3/2011 2:30", " 03/04/2011 02:30:15 \n", "2/30/2011 1:00", "3/4/2011 25:00", "0/4/2011 1:00",
+        "3/4/2011", "2011-02-30 10:00:00", "2011-03-04 10:00:00", "2011-03-04", "a/b", "", None,
+    ]
+    texts = ["a", "~", " a", "a ", " a ", "~a~", "\ta\n", "é ", " é", "", " ", None]
+
+    def column(values, name):
+        return spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, {name} string")
+
+    suffixed = F.col("n").rlike(r"[0-9.][dDfF]\s*$")
+    read = ingest._parsed_number(column(numbers, "n"), "n")
+    both = column(numbers, "n").select("n", read.alias("new"), F.when(~suffixed, F.col("n").try_cast("double")).alias("old"))
+    assert [r for r in both.collect() if str(r["new"]) != str(r["old"])] == []
+    found = column(times, "t").orderBy("i").select(ingest._timestamp(column(times, "t"), "t").cast("string").alias("t"))
+    day = "2011-03-04 "
+    assert [r["t"] for r in found.collect()] == [
+        "2011-03-13 02:30:00", None, day + "02:30:15", None, None, None, None, None, day + "10:00:00", day + "00:00:00", None, None, None,
+    ]
+    stripped = column(texts, "x").orderBy("i").select(strip_whitespace(F.col("x")).alias("x")).collect()
+    assert [r["x"] for r in stripped] == [x if x is None else x.strip() for x in texts]
+
+
+def test_load_report_joins_the_lines_once(spark, small, monkeypatch):
+    plans, land = [], ingest.land
+
+    def seen(raw, *more):
+        plans.append(raw._jdf.queryExecution().optimizedPlan().toString())
+        return land(raw, *more)
+
+    monkeypatch.setattr(ingest, "land", seen)
+    rows = QUERIES["load_report"](spark, small).collect()
+    assert [r["part"] for r in rows] == ["Year A", "Year B", "Year C", "Damaged"]
+    # orders, customers, nations and parts, once; each of three parts joined them before
+    assert plans[0].count("Join ") == 4
