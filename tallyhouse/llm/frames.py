@@ -71,7 +71,7 @@ def enrich(
 ) -> DataFrame:
     """Add columns that ``rows`` computes from each slice of an Arrow batch.
 
-    One narrow pass: no shuffle, and memory follows a slice of a few megabytes of ``column``
+    One narrow pass: no shuffle, and memory follows a slice of about a megabyte of ``column``
     (of ``step`` rows where it is None). A column of the input whose name is among ``fields`` is replaced.
     """
     added = T._parse_datatype_string(fields)

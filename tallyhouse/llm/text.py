@@ -1,6 +1,6 @@
 """Words of UTF-8 texts as numpy arrays: the shared groundwork of the text operators.
 
-All functions work on the bytes of an Arrow batch at once, in slices of a few megabytes, so
+All functions work on the bytes of an Arrow batch at once, in slices of about a megabyte, so
 memory follows the slice (or the longest single text) and not the table. A null text is an
 empty one. Words are runs of bytes of a class; both classes keep every byte of a non-ASCII
 character, so runs of bytes are runs of characters.
@@ -9,13 +9,14 @@ character, so runs of bytes are runs of characters.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
+#: Powers of a base that a worker keeps; the table of a longer text goes with it.
+MOST_POWERS = 1 << 21
 
 #: words ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` after lower-casing A-Z
 ALNUM = np.zeros(256, bool)
@@ -32,18 +33,19 @@ _BYTE = np.random.default_rng(20117).integers(1, 2**63, 256, dtype=np.uint64)
 _BASES = (0x9E3779B97F4A7C15 | 5, 0xD1342543DE82EF95 | 5)
 
 
-@lru_cache(maxsize=8)
-def _powers(base: int, size: int, inverse: bool) -> np.ndarray:
-    base = pow(base, -1, 1 << 64) if inverse else base
-    out = np.full(size, base, dtype=np.uint64)
-    if size:
-        out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
+_tables: dict[tuple[int, bool], np.ndarray] = {}
 
 
 def powers(base: int, size: int, inverse: bool = False) -> np.ndarray:
-    """``base ** i`` modulo 2**64 for i below size (rounded up, so that tables are shared)."""
-    return _powers(base, 1 << max(10, (size - 1).bit_length()), inverse)[:size]
+    """``base ** i`` modulo 2**64 for i below size. One table a base is kept, of ``MOST_POWERS`` at most."""
+    known = _tables.get((base, inverse))
+    if known is None or len(known) < size:
+        known = np.full(1 << max(10, (size - 1).bit_length()), pow(base, -1, 1 << 64) if inverse else base, np.uint64)
+        known[0] = 1
+        np.cumprod(known, out=known)
+        if len(known) <= MOST_POWERS:
+            _tables[base, inverse] = known
+    return known[:size]
 
 
 def mix(h: np.ndarray) -> np.ndarray:

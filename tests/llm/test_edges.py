@@ -265,3 +265,16 @@ def test_pipeline_stages(spark, docs, none, tmp_path, items):
             # 30 is toxic, 5, 7 and one row of 6 are copies, 6 and 8 are contaminated
             left = [r["doc_id"] for r in rows.collect()]
             assert sorted(left, key=str) == sorted([None, 0, 1, 2, 3, 4, 9, 10], key=str)
+
+
+def test_tables_of_powers_are_shared_and_bounded(monkeypatch):
+    from tallyhouse.llm import text
+
+    monkeypatch.setattr(text, "_tables", {})
+    monkeypatch.setattr(text, "MOST_POWERS", 1 << 12)
+    for size in (1 << 12, 3, 1025, 2000, 5000):  # a table for every size was kept before, of any length
+        for inverse in (False, True):
+            base = pow(7, -1, 1 << 64) if inverse else 7
+            assert text.powers(7, size, inverse).tolist() == [pow(base, i, 1 << 64) for i in range(size)]
+    assert [len(t) for t in text._tables.values()] == [1 << 12, 1 << 12]
+    assert len(text.powers(7, 0)) == 0
