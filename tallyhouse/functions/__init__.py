@@ -1,5 +1,5 @@
 from tallyhouse.functions.dates import days_between_bounds, month_start
-from tallyhouse.functions.keys import double_text, surrogate_key
+from tallyhouse.functions.keys import double_text, packed_key, surrogate_key, unpacked_key
 from tallyhouse.functions.money import cents, money_sum, percent_of, round_half_away
 from tallyhouse.functions.text import blank_to_null, strip_whitespace
 
@@ -10,8 +10,10 @@ __all__ = [
     "double_text",
     "money_sum",
     "month_start",
+    "packed_key",
     "percent_of",
     "round_half_away",
     "strip_whitespace",
     "surrogate_key",
+    "unpacked_key",
 ]

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.functions import cents
+from tallyhouse.functions import cents, packed_key
 from tallyhouse.operators.lines import carries_revenue
 
 
@@ -212,14 +212,6 @@ class Planned:
         return self.scope
 
 
-def _packed(value: Column) -> Column:
-    """The text of a key as bytes; the digits of a hash take half of their room. The first byte tells the two apart."""
-    text = value.cast("string")
-    digits = text.rlike(r"\A[0-9a-f]{32}\z")
-    hashed = F.concat(F.lit(b"\x01"), F.unhex(text))
-    return F.when(digits, hashed).otherwise(F.concat(F.lit(b"\x00"), text.cast("binary")))
-
-
 def _entries(df: DataFrame, keys: list[str], planned: Sequence[Planned], read: Callable[[str], DataFrame]) -> DataFrame:
     """What is grouped: each key of a row, as packed text under the key's number, and each failed row check under a number of its own.
 
@@ -228,7 +220,7 @@ def _entries(df: DataFrame, keys: list[str], planned: Sequence[Planned], read: C
     """
 
     def entry(number: int, value: Column) -> Column:
-        return F.struct(F.lit(number).alias("_key"), _packed(value).alias("_value"))
+        return F.struct(F.lit(number).alias("_key"), packed_key(value).alias("_value"))
 
     flags = [p.counted().alias(f"_f{i}") for i, p in enumerate(planned) if _is_scoped(p)]
     always = [entry(k, F.col(key)) for k, key in enumerate(keys)]
@@ -244,7 +236,7 @@ def _entries(df: DataFrame, keys: list[str], planned: Sequence[Planned], read: C
         if isinstance(p.check, ForeignKey):
             none = [F.lit(False).alias(f"_f{n}") for n, other in enumerate(planned) if _is_scoped(other)]
             of = [F.lit(i).alias("_parent_of"), F.lit(keys.index(p.check.column)).alias("_key")]
-            value = _packed(F.col(p.check.parent_column)).alias("_value")
+            value = packed_key(F.col(p.check.parent_column)).alias("_value")
             rows = rows.unionByName(read(p.check.parent).select(*none, *of, value))
     return rows
 

@@ -7,6 +7,8 @@ import shutil
 import tempfile
 import uuid
 import warnings
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -23,9 +25,32 @@ SETTINGS = {
 NEEDED = ["spark.sql.ansi.enabled"]
 ADVISED = ["spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled"]
 
+#: for writes of tables: their shuffle files go when the write ends, not when the driver happens to
+#: collect its garbage, so the steps of a build do not pile theirs up
+FREE_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+#: for writes by month of lines that a task has in the order of their time, or a few months of: it keeps
+#: their files open and sorts nothing
+OPEN_FILES = {"spark.sql.maxConcurrentOutputFileWriters": "100"}
+
 _local_folders: dict[str, str] = {}
 
 
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """The session with other settings for the time of a step."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def check_session(spark: SparkSession) -> None:
     """Refuse a session whose sums could overflow unseen; warn of one that meets skew unprepared."""
 

@@ -10,12 +10,13 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.functions import strip_whitespace
 from tallyhouse.schemas import RAW_COLUMNS, RAW_SCHEMA
+from tallyhouse.session import FREE_SHUFFLES, OPEN_FILES, settings
 
 # fixed values: source headers, stripped and lower-cased, and the names they stand for
 HEADER_NAMES = {
@@ -140,11 +141,16 @@ def dedupe(df: DataFrame) -> DataFrame:
     of copies of any size reaches its reducer as one row per map task. Lines that
     ``deal_by_time`` dealt are not shuffled again.
     """
-    # lines dealt by time are grouped and sorted in the order they are written in
-    key = [*LANDED_ORDER, "price"] if LANDED_MONTH in df.columns else COPY_KEY
-    others = [name for name in df.columns if name not in key]
+    key = COPY_KEY
+    others = [name for name in df.columns if name not in (*key, LANDED_MONTH)]
     first = [name for name in ("_source_sheet", "description", "country") if name in others]
     order = first + [name for name in others if name not in first]
+    if LANDED_MONTH in df.columns:
+        # sorted once, in the order they are written in; a grouping would sort them before and after it combines copies
+        copies = Window.partitionBy(*LANDED_ORDER, "price").orderBy(*order)
+        kept = df.withColumn("_copy", F.row_number().over(copies)).filter(F.col("_copy") == 1).drop("_copy")
+        # as in a grouping, a zero loses its sign
+        return kept.withColumn("price", F.col("price") + F.lit(0.0))
     survivor = F.min(F.struct(*order)).alias("survivor")
     kept = df.groupBy(*key).agg(survivor)
     return kept.select(
@@ -164,8 +170,8 @@ def stamp_lineage(df: DataFrame, loaded_at: dt.datetime, *more: str) -> DataFram
 
 
 LANDED_MONTH = "_landed_month"
-# the order of the landing; a price takes no part, as grouping changes the sign of a zero
-LANDED_ORDER = [LANDED_MONTH, "invoice_date", "invoice", *(c for c in COPY_KEY if c not in ("invoice_date", "invoice", "price"))]
+# the order of the landing, which is also that of its months; a price takes no part, as copies can differ in the sign of a zero
+LANDED_ORDER = ["invoice_date", "invoice", *(c for c in COPY_KEY if c not in ("invoice_date", "invoice", "price"))]
 
 
 def deal_by_time(df: DataFrame) -> DataFrame:
@@ -177,7 +183,8 @@ def deal_by_time(df: DataFrame) -> DataFrame:
     observed belongs behind this step.
     """
     month = F.date_trunc("month", F.col("invoice_date").cast("timestamp_ntz")).cast("date")
-    return df.withColumn(LANDED_MONTH, month).repartitionByRange(*LANDED_ORDER)
+    # the month need not be shuffled
+    return df.repartitionByRange(*LANDED_ORDER).withColumn(LANDED_MONTH, month)
 
 
 def write_raw(df: DataFrame, path: str, loaded_at: dt.datetime) -> int:
@@ -194,13 +201,15 @@ def write_raw(df: DataFrame, path: str, loaded_at: dt.datetime) -> int:
     stamped = stamp_lineage(df, loaded_at, LANDED_MONTH)
     rows = stamped.observe(loaded, F.count(F.lit(1)).alias("rows"))
     # an overwrite of the landing table replaces all of it, whatever the session says
-    (
-        rows.sortWithinPartitions(*LANDED_ORDER[:3])
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy(LANDED_MONTH)
-        .parquet(path)
-    )
+    with settings(df.sparkSession, {**FREE_SHUFFLES, **OPEN_FILES}):
+        (
+            rows.sortWithinPartitions(*LANDED_ORDER[:2])
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .option("compression", "zstd")
+            .partitionBy(LANDED_MONTH)
+            .parquet(path)
+        )
     return loaded.get["rows"]
 
 

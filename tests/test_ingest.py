@@ -241,6 +241,32 @@ def test_one_shuffle_serves_the_dedupe_and_the_months_of_the_landing(spark):
     assert plan.count() == 2
 
 
+def test_the_landing_is_sorted_once(spark):
+    dealt = ingest.deal_by_time(ingest.coerce_types(raw(spark, line(), line(price="-0.0"), line(price="0.0"))))
+    written = ingest.dedupe(dealt).sortWithinPartitions(*ingest.LANDED_ORDER[:2])
+    text = written._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"\bSort \[", text)) == 1
+    assert sorted(str(r.price) for r in written.collect()) == ["0.0", "2.75"]
+    # the month is told by the time and not shuffled with it
+    assert text.index("AS _landed_month") < text.index("Exchange rangepartitioning")
+
+
+def test_dealt_lines_keep_the_same_copy(spark):
+    copies = [line(description=d, _source_sheet=s, country=c) for s in "ba" for d in ("y", None, "x") for c in ("P", " ")]
+    for rows in (copies, copies[::-1]):
+        dealt = ingest.deal_by_time(ingest.coerce_types(raw(spark, *rows, line(price=None), line(price=None))))
+        kept = ingest.dedupe(dealt).orderBy("price").collect()
+        assert [(r.price, r._source_sheet, r.description, r.country) for r in kept] == [
+            (None, "first", "brass hook", "Portugal"), (2.75, "a", None, "")]
+
+
+def test_lines_are_shuffled_with_what_the_parts_need_of_them(spark, small):
+    join = re.search(r"Join Inner, \(l_orderkey.*?\n\s*:- (Project \[[^\n]*)", shop_scan(spark, small)._jdf.queryExecution().optimizedPlan().toString())
+    columns = join[1]
+    assert "AS is_free" in columns and "AS is_sent_back" in columns
+    assert not re.search(r"[\[ ]l_(discount|tax|returnflag)#\d+[,\]]", columns)
+
+
 def test_lines_are_not_sorted_to_meet_their_orders(spark, small):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
